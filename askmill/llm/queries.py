@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import format_duplicates, near_duplicates
-from ._common import records
+from . import format_duplicates, language, near_duplicates
+from ._common import read, records
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,17 @@ def p3_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_duplicates.sets(records(spark, sf_dir)).select("table_name", "kept_key", "copies", "spellings")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "raw_log")
+    return language.mislabelled(rows, language.trained(spark, sf_dir)).select("raw_row_id", "segment_no", "lang")
+
+
+def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's segments with their confidence."""
+    rows = read(spark, sf_dir, "raw_log")
+    return language.segments(rows, language.trained(spark, sf_dir), "raw_row_id", "querytext").select("raw_row_id", "segment_no", "lang", F.round("confidence", 6).alias("confidence"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p3_found, p3_sets)
+    f.__name__: f for f in (p1_found, p3_found, p3_sets, p4_found, p4_segments)
 }
