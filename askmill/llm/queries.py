@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import format_duplicates, language, near_duplicates
+from . import answer_defects, format_duplicates, language, near_duplicates
 from ._common import read, records
 
 
@@ -15,6 +15,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.pairs(records(spark, sf_dir))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = read(spark, sf_dir, "unique_questions_freq_qa").withColumnRenamed("representative_question", "question")
+    return answer_defects.defects(pairs)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_duplicates.copies(records(spark, sf_dir))
 
@@ -36,5 +41,5 @@ def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p3_found, p3_sets, p4_found, p4_segments)
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments)
 }
