@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import answer_defects, format_duplicates, language, near_duplicates
+from . import answer_defects, format_duplicates, language, near_duplicates, pii
 from ._common import read, records
 
 
@@ -40,6 +40,19 @@ def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.segments(rows, language.trained(spark, sf_dir), "raw_row_id", "querytext").select("raw_row_id", "segment_no", "lang", F.round("confidence", 6).alias("confidence"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    common = pii.common_words(documents)
+    return pii.found(documents, pii.trained(common), common)
+
+
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with placeholders, and their number."""
+    documents = read(spark, sf_dir, "documents")
+    common = pii.common_words(documents)
+    return pii.details(documents, pii.trained(common), common).select("doc_id", F.col("redacted").alias("text"), F.size("kinds").alias("n_found"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments)
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p8_found, p8_redacted)
 }
