@@ -42,7 +42,7 @@ _DIGIT_WORD = r"(?:zero|one|two|three|four|five|six|seven|eight|nine|oh|double|t
 _EMAILS = (
     ("plain", re.compile(r"[\w][\w.+\-]*@[\w\-]+(?:\.[\w\-]+)+")),
     ("spaced", re.compile(r"[\w][\w.+\-]* ?@ ?[\w\-]+(?:\.[\w\-]+)+")),
-    ("bracket", re.compile(r"[\w][\w.+\-]* ?[(\[{<] ?at ?[)\]}>] ?[\w\-]+(?: ?(?:\.|[(\[{<] ?dot ?[)\]}>]) ?[\w\-]+)+", re.I)),
+    ("bracket", re.compile(r"[\w][\w.+\-]* ?[(\[{<] ?at ?[)\]}>] ?[\w\-]+(?:(?:\.| ?[(\[{<] ?dot ?[)\]}>] ?)[\w\-]+)+", re.I)),
     ("worded", re.compile(r"[\w][\w.+\-]* at [\w\-]+(?: dot [\w\-]+)+", re.I)),
 )
 _EDGE, _END = r"(?<![\w.+\-/])", r"(?![\w/]|[.\-]\d)"
