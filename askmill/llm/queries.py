@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import answer_defects, format_duplicates, language, near_duplicates, pii
+from . import answer_defects, format_duplicates, language, near_duplicates, note_clusters, pii
 from ._common import read, records
 
 
@@ -40,6 +40,20 @@ def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.segments(rows, language.trained(spark, sf_dir), "raw_row_id", "querytext").select("raw_row_id", "segment_no", "lang", F.round("confidence", 6).alias("confidence"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = note_clusters.clustered(read(spark, sf_dir, "raw_log"), read(spark, sf_dir, "repaired_clusters"))
+    return rows.where("cluster_id is not null").select("cluster_id", "raw_row_id")
+
+
+def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cluster with its true size, the size on file and its three most typical notes (ties by row id)."""
+    stale = read(spark, sf_dir, "repaired_clusters").groupBy("cluster_id").agg(F.max("size").alias("size_on_file"))
+    log = read(spark, sf_dir, "raw_log")
+    rows = note_clusters.clustered(log, read(spark, sf_dir, "repaired_clusters"))
+    best = rows.groupBy("cluster_no").agg(F.min("cluster_id").alias("cluster_id"), F.count(F.lit(1)).alias("size"), F.min_by("raw_row_id", F.struct(-F.col("typical"), "raw_row_id")).alias("medoid_row_id"))
+    return best.join(stale, "cluster_id", "left").join(log.select(F.col("raw_row_id").alias("medoid_row_id"), F.col("query_text").alias("medoid")), "medoid_row_id")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     common = pii.common_words(documents)
@@ -54,5 +68,5 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p8_found, p8_redacted)
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p5_found, p5_clusters, p8_found, p8_redacted)
 }
