@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import answer_defects, format_duplicates, language, near_duplicates, note_clusters, pii
+from . import answer_defects, format_duplicates, language, mixing, near_duplicates, note_clusters, packing, pii
 from ._common import read, records
 
 
@@ -54,6 +54,24 @@ def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.join(stale, "cluster_id", "left").join(log.select(F.col("raw_row_id").alias("medoid_row_id"), F.col("query_text").alias("medoid")), "medoid_row_id")
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), read(spark, sf_dir, "pack_capacities"))
+
+
+def p6_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacities = read(spark, sf_dir, "pack_capacities")
+    return packing.filling(packing.pack(read(spark, sf_dir, "documents"), capacities), capacities)
+
+
+def p7_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = read(spark, sf_dir, "mix_targets")
+    return mixing.shares(mixing.mix(read(spark, sf_dir, "documents"), targets), targets)
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     common = pii.common_words(documents)
@@ -68,5 +86,5 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p5_found, p5_clusters, p8_found, p8_redacted)
+    f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p5_found, p5_clusters, p6_containers, p6_filling, p7_mixed, p7_shares, p8_found, p8_redacted)
 }
