@@ -88,3 +88,6 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p5_found, p5_clusters, p6_containers, p6_filling, p7_mixed, p7_shares, p8_found, p8_redacted)
 }
+
+#: Queries that DuckDB can answer as well.
+SQL: dict[str, str] = {}
