@@ -162,7 +162,7 @@ def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def index(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Each distinct text of (table_name, key, text) with its word set (``node``), signature and keys; written to the shared folder."""
-    texts = distinct_texts(records).select("table_name", "text")
+    texts = staged(distinct_texts(records).select("table_name", "text"))  # read three times, shuffled once
     frequent = frequent_words(texts)
     spec = "table_name string, text string, node long, words int, sig_a long, sig_b long, keys array<long>"
     return staged(encode(texts.mapInPandas(_tokeniser(frequent, similarity), spec)).withColumn("digest", digest(F.col("text"))).drop("tuple"))
