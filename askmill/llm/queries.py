@@ -16,7 +16,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = read(spark, sf_dir, "unique_questions_freq_qa").withColumnRenamed("representative_question", "question")
+    pairs = read(spark, sf_dir, "unique_questions_freq_qa").select("unique_q_id", F.col("representative_question").alias("question"), "category", "answer")
     return answer_defects.defects(pairs)
 
 
