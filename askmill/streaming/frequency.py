@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def frequency(stream: DataFrame, time: str = "received_at", column: str = "query_text", window: str = "1 day", late: str = "30 days") -> DataFrame:
-    """Counts by window and text; rows later than ``late`` are dropped, rows without a time or text are left out."""
-    rows = stream.where(F.col(column).isNotNull() & F.col(time).isNotNull()).withWatermark(time, late)
+def frequency(stream: DataFrame, time: str = "received_at", column: str = "query_text", window: str = "1 day", late: str | None = "30 days") -> DataFrame:
+    """Counts by window and text; rows later than ``late`` are dropped (None: the stream has its watermark), rows without a time or text
+    are left out."""
+    rows = stream.where(F.col(column).isNotNull() & F.col(time).isNotNull())
+    rows = rows.withWatermark(time, late) if late else rows
     return rows.groupBy(F.window(time, window).alias("w"), F.col(column).alias("query_text")).count().select("w.start", "w.end", "query_text", "count")
 
 
