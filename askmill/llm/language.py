@@ -80,7 +80,8 @@ class Model:
 def fit(counts: dict[str, Counter], epochs: int = 12, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.05) -> Model:
     """Fit on words with their counts by language. Targets are the shares of a word's language-balanced counts."""
     words = sorted(counts)
-    total = np.ones(len(LANGS))
+    if not words:
+        return Model({}, np.zeros(0), np.zeros((0, len(LANGS))))
     raw = np.array([[counts[w].get(k, 0) for k in LANGS] for w in words], np.float64)
     total = np.maximum(raw.sum(0), 1.0)
     target = raw / total
@@ -202,7 +203,9 @@ def segment(model: Model, texts: list[str], cache: dict[str, np.ndarray]) -> lis
 def trained(spark: SparkSession, sf_dir: str, sample: int = SAMPLE) -> Model:
     known = [(r[0], r[1]) for r in read(spark, sf_dir, "lang_samples").select("lang", "sample_text").orderBy("sample_id").collect()]
     rows = read(spark, sf_dir, "raw_log").select(F.lower(F.trim("lang_label")).alias("k"), F.col("querytext").alias("t"), F.xxhash64("raw_row_id").alias("h"))
-    rows = rows.where(F.col("k").isin(*LANGS) & (F.length(F.trim("t")) > 0)).orderBy("h", "t").limit(sample)  # bounded by the parameter
+    rows = rows.where(F.col("k").isin(*LANGS) & (F.length(F.trim("t")) > 0))
+    share = min(1.0, 1.5 * sample / max(1, rows.count()))  # so that no task sends more than its part of the sample
+    rows = rows.where(F.col("h") <= min(2**63 - 1, int((share - 0.5) * 2**64))).orderBy("h", "t").limit(sample)  # bounded by the parameter
     return train([(r["k"], r["t"]) for r in rows.collect()], known)
 
 
