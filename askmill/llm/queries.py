@@ -89,5 +89,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p2_found, p3_found, p3_sets, p4_found, p4_segments, p5_found, p5_clusters, p6_containers, p6_filling, p7_mixed, p7_shares, p8_found, p8_redacted)
 }
 
+_BARE = "regexp_replace({0}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_FIELDS = f"""with r as (select 'raw_log' as table_name, raw_row_id::varchar as k, query_text as x from raw_log union all select 'unique_questions_freq', unique_q_id, representative_question from unique_questions_freq),
+    p as (select table_name, k, x, string_split(regexp_replace(lower(x), '(?:^|[|,;/\\n\\r])[^\\p{{L}}\\p{{N}}]*({"|".join(format_duplicates.LABELS)})\\s*\\p{{Z}}*[:=\\-–>]', chr(1) || '\\1' || chr(1), 'g'), chr(1)) as parts from r
+        where k is not null and x is not null and regexp_matches(x, '[\\p{{L}}\\p{{N}}]')),
+    f as (select table_name, k, x, case when len(parts) >= 7 and {_BARE.format('parts[1]')} = '' then list_sort(list_transform(range(1, (len(parts) - 1) // 2 + 1), lambda i: parts[2 * i] || '=' || {_BARE.format('parts[2 * i + 1]')})) else [{_BARE.format('lower(x)')}] end as fields from p),
+    s as (select table_name, fields, min(k) as kept_key, count(*)::bigint as copies, count(distinct x)::bigint as spellings from f group by 1, 2)"""
+
 #: Queries that DuckDB can answer as well.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p3_found": f"{_FIELDS} select table_name, kept_key, k as copy_key from f join s using (table_name, fields) where spellings > 1 and k <> kept_key",
+    "p3_sets": f"{_FIELDS} select table_name, kept_key, copies, spellings from s",
+}
