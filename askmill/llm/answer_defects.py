@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import staged
+
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _LABEL = re.compile(r"^\W*(?:answer|reply|response|advice)\W*(?=$|[:\-–=])[\s:*_\-–=]*", re.I)
 #: What stands for nothing.
@@ -249,7 +251,7 @@ LEAST_PLACES, LEAST_SHARE = 3, 0.5
 def defects(pairs: DataFrame) -> DataFrame:
     """(unique_q_id, defect) of (unique_q_id, question, category, answer): one row per defective pair."""
     distinct = pairs.select("unique_q_id", "question", "category", "answer").distinct()
-    judged = distinct.mapInPandas(_judged, "unique_q_id string, defect string, grams array<string>")
+    judged = staged(distinct.mapInPandas(_judged, "unique_q_id string, defect string, grams array<string>"))  # read twice
     sure = judged.where("defect is not null").select("unique_q_id", "defect")
     open_ = judged.where("defect is null and size(grams) > 0").select("unique_q_id", F.posexplode("grams").alias("n", "gram"))
     counts = (
