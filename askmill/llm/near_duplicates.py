@@ -10,8 +10,11 @@ Method: byte-position inverted index with count filtering.
    ``POSITIONS - (a+b)(1-s)/(1+s)`` positional bytes: the guaranteed minimum.
 2. *Index.* Within the posting list of an index key, the shared positional bytes of each pair are tallied (vectorised) and only pairs with
    the guaranteed minimum are kept. Which keys a record is listed under follows from the prefix filter: in an order common to all records
-   (rare words first) two records with the needed overlap share two of their first ``a - ceil(sa) + 2`` words. A shared rare word is a key
-   by itself; of frequent words, pairs are keys, so the list of a word that is in a fixed share of all records is never formed.
+   (rare words first, then by number of texts) two records with the needed overlap share three of their first ``a - ceil(sa) + 3`` words.
+   The first of these is a key by itself if it is rare, with the second if it is in n/1000 texts at most, else with both others, so the
+   list of a word that is in a fixed share of all records is never formed. The smaller record of a pair shares more of its words, so for
+   it the first ``a - ceil(2sa/(1+s)) + 3`` do; only pairs with one such entry are looked at. Records of more than ``LARGE`` words would have too many
+   triples; they, and those of up to a quarter fewer, which can be their partners, are listed under single words among themselves.
 3. *Verify.* The exact similarity is computed from the texts of the pairs left.
 
 All filters are exact: no pair is lost, whatever the data. The only table sent to all tasks is the order of the frequent words; as each
@@ -24,6 +27,7 @@ one text are copies, not pairs. An empty table gives no rows.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -40,24 +44,27 @@ SIMILARITY = 0.75
 POSITIONS = 16
 #: A word is frequent from this many distinct texts (or 1/10000 of them, if more) on.
 RARE = 200
+LARGE = 96
 _MIX = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
-def frequent_words(texts: DataFrame) -> dict[str, int]:
-    """The words of ``max(RARE, n/10000)`` texts or more, with their rank by ascending number of texts (ties by word)."""
+def frequent_words(texts: DataFrame) -> tuple[dict[str, int], int]:
+    """The words of ``max(RARE, n/10000)`` texts or more, with their rank by ascending number of texts (ties by word), and the rank from
+    which on a word is in more than ``max(RARE, n/1000)`` texts."""
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("word"))
-    least = max(RARE, texts.count() // 10_000)
-    rows = words.groupBy("word").count().where(F.col("count") >= least).collect()  # bounded: see the module's text
-    return {r["word"]: k for k, r in enumerate(sorted(rows, key=lambda r: (r["count"], r["word"])))}
+    n = texts.count()
+    rows = words.groupBy("word").count().where(F.col("count") >= max(RARE, n // 10_000)).collect()  # bounded: see the module's text
+    rows.sort(key=lambda r: (r["count"], r["word"]))
+    return {r["word"]: k for k, r in enumerate(rows)}, sum(r["count"] <= max(RARE, n // 1000) for r in rows)
 
 
-def _tokeniser(frequent: dict[str, int], similarity: float):
+def _tokeniser(frequent: dict[str, int], similarity: float, common: int = 0):
     import re
 
     import xxhash
 
     find = re.compile(r"[^\W_]+").findall
+    common |= 1 << 63
 
     def order(word: str) -> int:
         rank = frequent.get(word)
@@ -65,65 +72,104 @@ def _tokeniser(frequent: dict[str, int], similarity: float):
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
+        salts: dict[str, int] = {}
         for pdf in batches:
             if len(known) > 500_000:
                 known.clear()
-            flat, sizes, nodes, keys = [], [], [], []
+            flat, sizes, nodes = array("Q"), [], []
             for table, text in zip(pdf["table_name"], pdf["text"]):
-                words = set(find(text.lower()))
                 mine = []
-                for w in words:
+                for w in set(find(text.lower())):
                     o = known.get(w)
                     if o is None:
                         o = known[w] = order(w)
                     mine.append(o)
                 mine.sort()
-                salt = xxhash.xxh64_intdigest(table)
+                if table not in salts:
+                    salts[table] = xxhash.xxh64_intdigest(table)
                 sizes.append(len(mine))
-                flat.extend(mine)
-                nodes.append(xxhash.xxh3_64_intdigest("\x01".join(sorted(words)), salt))
-                keys.append(_keys(mine, salt, similarity))
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            h = np.array(flat, np.uint64) * np.uint64(_MIX)
+                own = array("Q", mine)
+                flat.extend(own)
+                nodes.append(xxhash.xxh3_64_intdigest(own.tobytes(), salts[table]))
+            size, orders = np.array(sizes, np.int64), np.array(flat, np.uint64)
+            row = np.repeat(np.arange(len(size)), size)
+            h = orders * np.uint64(_MIX)
             sig = np.zeros((len(sizes), POSITIONS), np.uint8)
             np.add.at(sig, (row, ((h >> np.uint64(40)) % np.uint64(POSITIONS)).astype(np.int64)), (h >> np.uint64(52)).astype(np.uint8) | np.uint8(1))
             two = sig.view(np.int64)
-            yield pdf.assign(
-                node=np.array(nodes, np.uint64).view(np.int64), words=np.array(sizes, np.int32), sig_a=two[:, 0], sig_b=two[:, 1], keys=keys
-            )
+            salt = np.array([salts[t] for t in pdf["table_name"]], np.uint64)
+            yield pdf.assign(node=np.array(nodes, np.uint64).view(np.int64), words=size.astype(np.int32), sig_a=two[:, 0], sig_b=two[:, 1], keys=_keys(orders, size, salt, similarity, common))
 
     return of
 
 
-def _keys(orders: list[int], salt: int, similarity: float) -> list[int]:
-    """The index keys of a record whose words have these (ascending) places in the common order."""
-    size = len(orders)
-    if size < 3:
+def _keys(orders: np.ndarray, size: np.ndarray, salt: np.ndarray, similarity: float, common: int) -> list[np.ndarray]:
+    """The index keys of records whose words have these (within a record ascending) places in the common order.
+
+    The lowest bit of a key tells whether the record may be the smaller one of a pair under it.
+    """
+    if not len(size):
         return []
-    first = size - int(np.ceil(similarity * size - 1e-9)) + 1
-    rare = [o for o in orders[:first] if o < 1 << 63]
-    often = [o for o in orders[: first + 1] if o >= 1 << 63]
-    out = [o ^ salt for o in rare] + [((a * _MIX + b) * _MIX ^ salt) & _MASK for a, b in combinations(often, 2)]
-    return [k - (1 << 64) if k >= 1 << 63 else k for k in (k & _MASK for k in out)]
+    start = np.cumsum(size) - size
+    first = np.where(size < 3, 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1)
+    short = size - np.ceil(2 * similarity / (1 + similarity) * size - 1e-9).astype(np.int64) + 1
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(orders)) - np.repeat(start, size)
+    often = orders >= np.uint64(1 << 63)
+    single = (place < first[row]) & ~often
+    rows, keys, small = [row[single]], [orders[single] ^ salt[row[single]]], [place[single] < short[row[single]]]
+    large = (place < first[row]) & (size[row] > LARGE * similarity)  # see the module's text
+    rows.append(row[large])
+    keys.append((orders[large] * np.uint64(_MIX) + np.uint64(1)) ^ salt[row[large]])
+    small.append(place[large] < short[row[large]])
+    last = np.where(first > 0, np.minimum(first + 2, size), 0)
+    window = (place < last[row]) & often
+    m = np.where(size > LARGE, 0, np.bincount(row[window], minlength=len(size)))
+    for n in np.unique(m[m > 1]):
+        at = np.flatnonzero(m == n)
+        from_ = last[at] - n  # the frequent words are the last ones of the window
+        tail = orders[(start[at] + from_)[:, None] + np.arange(n)]
+        i, j = np.triu_indices(n, 1)
+        r, c = np.nonzero(tail[:, i] < np.uint64(common))
+        rows.append(at[r])
+        keys.append((tail[r, i[c]] * np.uint64(_MIX) + tail[r, j[c]]) * np.uint64(_MIX) ^ salt[at[r]])
+        small.append(from_[r] + j[c] < short[at[r]] + 1)
+        i, j, k = np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3).T
+        r, c = np.nonzero(tail[:, i] >= np.uint64(common))
+        rows.append(at[r])
+        keys.append(((tail[r, i[c]] * np.uint64(_MIX) + tail[r, j[c]]) * np.uint64(_MIX) + tail[r, k[c]]) * np.uint64(_MIX) ^ salt[at[r]])
+        small.append(from_[r] + k[c] < short[at[r]] + 2)
+    row, key = np.concatenate(rows), np.concatenate(keys)
+    key = ((key & ~np.uint64(1)) | np.concatenate(small).astype(np.uint64)).view(np.int64)
+    order = np.argsort(row, kind="stable")
+    return np.split(key[order], np.cumsum(np.bincount(row, minlength=len(size)))[:-1])
+
+
+_LOW, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def _equal_bytes(x: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes of each number are 0."""
+    return np.bitwise_count(~(((x & _LOW) + _LOW) | x) & _HIGH)
 
 
 def _tally(similarity: float):
-    """Pairs of one posting list that share the guaranteed number of positional bytes. Input: sorted by key."""
+    """Pairs of one posting list that share the guaranteed number of positional bytes. Input: sorted by key and, falling, small."""
     apart = (1 - similarity) / (1 + similarity)
 
     def pairs(a: dict[str, np.ndarray]) -> pd.DataFrame:
-        key, node, words, sig = a["key"], a["node"], a["words"], np.stack([a["sig_a"], a["sig_b"]], 1)
+        key, node, words, small, one, two = a["key"], a["node"], a["words"], a["small"], a["sig_a"].view(np.uint64), a["sig_b"].view(np.uint64)
         left, right = [], []
-        i, k = np.arange(len(key) - 1), 1
+        i, k = np.flatnonzero(small[:-1]), 1  # those that may be the smaller one come first in each list
         while len(i):
             i = i[i + k < len(key)]
             i = i[key[i] == key[i + k]]
             for at in range(0, len(i), 1 << 18):
                 x = i[at : at + (1 << 18)]
                 y = x + k
-                same = ((sig[x] ^ sig[y]).view(np.uint8).reshape(len(x), POSITIONS) == 0).sum(1)
+                same = _equal_bytes(one[x] ^ one[y]) + _equal_bytes(two[x] ^ two[y])
                 both = words[x] + words[y]
-                ok = (same >= POSITIONS - np.floor(both * apart + 1e-9)) & (np.minimum(words[x], words[y]) >= similarity * np.maximum(words[x], words[y]) - 1e-9) & (node[x] != node[y])
+                ok = (same >= POSITIONS - np.floor(both * apart + 1e-9)) & (np.minimum(words[x], words[y]) >= similarity * np.maximum(words[x], words[y]) - 1e-9) & (node[x] != node[y]) & (small[y] | (words[x] <= words[y]))
                 left.append(node[x[ok]])
                 right.append(node[y[ok]])
             k += 1
@@ -163,16 +209,16 @@ def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 def index(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Each distinct text of (table_name, key, text) with its word set (``node``), signature and keys; written to the shared folder."""
     texts = staged(distinct_texts(records).select("table_name", "text"))  # read three times, shuffled once
-    frequent = frequent_words(texts)
+    frequent, common = frequent_words(texts)
     spec = "table_name string, text string, node long, words int, sig_a long, sig_b long, keys array<long>"
-    return staged(encode(texts.mapInPandas(_tokeniser(frequent, similarity), spec)).withColumn("digest", digest(F.col("text"))).drop("tuple"))
+    return staged(texts.mapInPandas(_tokeniser(frequent, similarity, common), spec))
 
 
 def node_pairs(indexed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node_a, node_b, similarity), node_a < node_b: all pairs of different word sets that are similar."""
     spark = indexed.sparkSession
-    posted = indexed.select(F.explode("keys").alias("key"), "node", "words", "sig_a", "sig_b")
-    lists = posted.repartition(max(partitions(spark), 24), "key").sortWithinPartitions("key")
+    posted = indexed.select(F.explode("keys").alias("k"), "node", "words", "sig_a", "sig_b").select(F.shiftright("k", 1).alias("key"), ((F.col("k") % 2) != 0).alias("small"), "node", "words", "sig_a", "sig_b")
+    lists = posted.repartition(max(partitions(spark), 24), "key").sortWithinPartitions("key", F.desc("small"))
     found = lists.mapInPandas(_tally(similarity), "node_a long, node_b long").distinct()
     text = indexed.groupBy("node").agg(F.min("text").alias("text"))
     both = found.join(text.select(F.col("node").alias("node_a"), F.col("text").alias("text_a")), "node_a").join(
@@ -185,12 +231,16 @@ def pairs(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(table_name, key_a, key_b), key_a < key_b: all pairs of near-duplicate records."""
     indexed = index(records, similarity)
     near = node_pairs(indexed, similarity).select("node_a", "node_b")
-    # one word set, yet not copies: other order of the same words
-    turned = indexed.groupBy("node").agg(F.min("canon").alias("lo"), F.max("canon").alias("hi")).where("lo <> hi").select(F.col("node").alias("node_a"), F.col("node").alias("node_b"))
+    # one word set in several texts: other order of the same words, unless they are copies
+    turned = indexed.groupBy("node").count().where("count > 1").select(F.col("node").alias("node_a"), F.col("node").alias("node_b"))
     near = staged(near.unionByName(turned))
     wanted = near.select(F.explode(F.array("node_a", "node_b")).alias("node")).distinct()
-    texts = indexed.select("table_name", "digest", "node", "canon").join(wanted, "node", "left_semi")
+    texts = indexed.select("table_name", "text", "node").join(wanted, "node", "left_semi")
+    texts = staged(encode(texts).select("table_name", "node", "canon", digest(F.col("text")).alias("digest")))
+    several = texts.groupBy("node").agg(F.min("canon").alias("lo"), F.max("canon").alias("hi")).where("lo <> hi").select(F.col("node").alias("node_a"))
+    near = near.where("node_a <> node_b").unionByName(near.where("node_a = node_b").join(several, "node_a", "left_semi"))
     rows = records.select("table_name", "key", digest(F.col("text")).alias("digest")).join(texts, ["table_name", "digest"]).drop("digest")
+    rows = staged(rows)  # read from either side
     a = rows.select("table_name", F.col("node").alias("node_a"), F.col("canon").alias("canon_a"), F.col("key").alias("_a"))
     b = rows.select(F.col("node").alias("node_b"), F.col("canon").alias("canon_b"), F.col("key").alias("_b"))
     out = near.join(a, "node_a").join(b, "node_b").where("canon_a <> canon_b and (node_a <> node_b or _a < _b)")
