@@ -20,7 +20,7 @@ def parse_groups(replies: DataFrame, key: str = "cluster_id") -> DataFrame:
     The first group that claims an index has it; what is no index is left out; missed indices are groups of their own, '(unclassified)',
     after the others. A broken reply leaves all of them.
     """
-    all_ = replies.select(key, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("idx")).where("idx >= 0") if replies else replies
+    all_ = replies.select(key, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("idx")).where("idx >= 0")
     g = replies.select(key, "n", F.posexplode(F.coalesce(json_list(F.col("raw")), F.expr("cast(array() as array<struct<group:string,label:string,indices:array<string>>>)"))).alias("g", "x"))
     i = g.select(key, "n", "g", F.col("x.label").alias("label"), F.posexplode(F.coalesce("x.indices", F.expr("cast(array() as array<string>)"))).alias("p", "i"))
     i = i.withColumn("idx", F.col("i").try_cast("int") - 1).where("idx >= 0 and idx < n")
