@@ -61,3 +61,9 @@ def _remove(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     except Exception:  # the session has ended; the folder is the cluster's to clean
         pass
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over as many tasks as there are cores, where the files would give fewer (one small file is one task)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -8,7 +8,8 @@ names do not end a segment.
 * The model is fitted on the driver on all of ``lang_samples`` and on ``SAMPLE`` labelled rows of the log (smallest hashes of the row id; a
   bounded sample by parameter). Labels that contradict a first fit are left out of the second one.
 * Every row of the log is labelled. The model (a few thousand weights) goes to the tasks with the function; a task keeps the evidence of
-  each word it has met, and the path search is vectorised over the texts of a batch. There is no shuffle.
+  each word it has met, and the path search is vectorised over the texts of a batch. Texts are shuffled only where there are
+  fewer files than cores.
 
 Null and blank texts, and texts without any letter, have no segments. Repeated rows are labelled alike. Texts of any length are read whole.
 """
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import read
+from ._common import read, spread
 
 LANGS = ("en", "hi", "mr", "pa", "bn", "ta", "te")
 SAMPLE = 20_000
@@ -211,7 +212,7 @@ def trained(spark: SparkSession, sf_dir: str, sample: int = SAMPLE) -> Model:
 
 def segments(texts: DataFrame, model: Model, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, segment_no, lang, confidence, n_segments): one row per segment of each text."""
-    rows = texts.select(key, text, *keep).where(F.col(text).isNotNull())
+    rows = spread(texts.select(key, text, *keep).where(F.col(text).isNotNull()))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, np.ndarray] = {}

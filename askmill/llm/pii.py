@@ -12,7 +12,7 @@ segmentations with the forward-backward recursion over the same lattice.
   distinct words of a mean document.
 * Given names that stand alone are looked for again once the full names of the document are known.
 
-Every document is read whole, whatever its length; there is no shuffle of texts. Null and empty texts give no rows. Repeated documents
+Every document is read whole, whatever its length; texts are shuffled only where there are fewer files than cores. Null and empty texts give no rows. Repeated documents
 give the same rows under their own ids.
 """
 
@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import spread
+
 KINDS = ("person_name", "phone", "id_number", "email", "address")
 PLACEHOLDER = {"person_name": "[NAME]", "phone": "[PHONE]", "id_number": "[ID]", "email": "[EMAIL]", "address": "[ADDRESS]"}
 LONGEST = 24
@@ -295,7 +297,7 @@ def common_words(documents: DataFrame, text: str = "text") -> frozenset[str]:
 
 def details(documents: DataFrame, model: Model, common: frozenset[str], key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, redacted, kinds, texts) of every document with a text: the text with placeholders, and what they stand for."""
-    rows = documents.select(key, text).where(F.col(text).isNotNull())
+    rows = spread(documents.select(key, text).where(F.col(text).isNotNull()))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
