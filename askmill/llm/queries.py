@@ -50,7 +50,8 @@ def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     stale = read(spark, sf_dir, "repaired_clusters").groupBy("cluster_id").agg(F.max("size").alias("size_on_file"))
     log = read(spark, sf_dir, "raw_log")
     rows = note_clusters.clustered(log, read(spark, sf_dir, "repaired_clusters"))
-    best = rows.groupBy("cluster_no").agg(F.min("cluster_id").alias("cluster_id"), F.count(F.lit(1)).alias("size"), F.min_by("raw_row_id", F.struct(-F.col("typical"), "raw_row_id")).alias("medoid_row_id"))
+    outcome = ["cluster_id", F.when(F.col("cluster_id").isNull(), F.col("cluster_no")).alias("cluster_no")]  # several centres may have one id, and one centre several
+    best = rows.groupBy(*outcome).agg(F.count(F.lit(1)).alias("size"), F.min_by("raw_row_id", F.struct(-F.col("typical"), "raw_row_id")).alias("medoid_row_id"))
     return best.join(stale, "cluster_id", "left").join(log.select(F.col("raw_row_id").alias("medoid_row_id"), F.col("query_text").alias("medoid")), "medoid_row_id")
 
 

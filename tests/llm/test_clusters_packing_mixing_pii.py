@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from askmill.llm import mixing, note_clusters, packing, pii
+from askmill.llm import mixing, note_clusters, packing, pii, queries
 from askmill.llm.pii_training import examples
 
 
@@ -44,6 +44,24 @@ def test_clusters(spark):
     assert note_clusters.clustered(log.where("false"), reps).count() == 0
 
 
+@pytest.fixture(scope="module")
+def matters(spark, tmp_path_factory):
+    """The tables of problem 5: matter 3 has two representatives, and some notes are of no matter on file."""
+    d = str(tmp_path_factory.mktemp("matters"))
+    more = [(20_000 + k, "rice", f"farmer number {k} reports blast lesions in rice, spindle spots") for k in range(40)]
+    log = spark.createDataFrame([r[:3] for r in notes()] + more, "raw_row_id long, crop string, query_text string")
+    log.write.parquet(f"{d}/raw_log.parquet")
+    reps = [(m, f"asks cure for {names[0]} of {crop}, {signs[0]}") for m, (crop, names, signs) in MATTERS.items()] + [(8, "asks cure for stripe rust of wheat, powder lines, damp mornings")]
+    spark.createDataFrame([(m, 1, r) for m, r in reps], "cluster_id long, size long, representative string").write.parquet(f"{d}/repaired_clusters.parquet")
+    return d
+
+
+def test_sizes_are_those_of_the_ids(spark, matters):
+    want = {r[0]: r[1] for r in queries.p5_found(spark, matters).groupBy("cluster_id").count().collect()}
+    got = [(r["cluster_id"], r["size"]) for r in queries.p5_clusters(spark, matters).collect() if r["cluster_id"] is not None]
+    assert {3, 8} <= set(want) and len(got) == len(want) and dict(got) == want
+
+
 def test_pivots_are_serial():
     """Batches of pivots keep exactly the nodes that the serial algorithm would take."""
     words = note_clusters.Words({f"w{k}": 1.0 for k in range(6)}, frozenset())
