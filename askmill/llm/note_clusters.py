@@ -215,40 +215,110 @@ def matched(centres: np.ndarray, words: Words, representatives: list[tuple[int,
     return reps, out, ids
 
 
+class Placed:
+    """The places of cores: (cluster_no or -1, cluster_id or None, similarity to the centre) of each."""
+
+    def __init__(self, words: Words, centres: np.ndarray, representatives: list[tuple[int, str]]):
+        self.words, self.centres = words, centres
+        self.reps, self.places, self.ids = matched(centres, words, representatives)
+        self.has = np.array([k for k, mine in enumerate(self.places) if len(mine)], int)
+        self.known = sorted(set(self.ids))
+        self.row = {i: k for k, i in enumerate(self.known)}
+
+    def of(self, found: list[str]) -> tuple[np.ndarray, list[int | None], np.ndarray]:
+        m = self.words.matrix(found)
+        s = m @ self.centres.T if len(self.centres) else np.zeros((len(found), 1))
+        k = np.where((s.max(1) >= CLOSE) & np.array([bool(c) for c in found], bool), s.argmax(1), -1) if len(found) else np.zeros(0, int)
+        cid = []
+        for i, c in enumerate(k):
+            own = self.places[c] if c >= 0 else ()
+            if c >= 0 and not len(own) and len(self.has):  # the cluster is matched with none; a matched one may be near enough
+                b = self.has[s[i, self.has].argmax()]
+                own = self.places[b] if s[i, b] >= max(CLOSE, 0.6 * s[i, c]) else ()
+            cid.append(None if not len(own) else self.ids[own[(self.reps[own] @ m[i]).argmax()]] if len(own) > 1 else self.ids[own[0]])
+        return k, cid, s.max(1) if len(found) else np.zeros(0)
+
+    def rows(self, k: np.ndarray, cid: list[int | None]) -> np.ndarray:
+        """A number for each outcome: the known ids first, then the centres without one; -1 for none."""
+        return np.array([-1 if c < 0 else self.row[i] if i is not None else len(self.known) + c for c, i in zip(k, cid)], int)
+
+
 def assign(notes: DataFrame, words: Words, centres: np.ndarray, representatives: list[tuple[int, str]], key: str = "raw_row_id", text: str = "query_text") -> DataFrame:
     """(cluster_no, cluster_id, key, typical): the cluster of each note, the id it is matched with (null if none) and how near it is."""
-    reps, places, ids = matched(centres, words, representatives)
-    has = np.array([k for k, mine in enumerate(places) if len(mine)], int)
+    placed = Placed(words, centres, representatives)
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             code, distinct = pd.factorize(pdf[text])
-            found = [words.core(t) for t in distinct]
-            m = words.matrix(found)
-            s = m @ centres.T if len(centres) else np.zeros((len(found), 1))
-            k = np.where((s.max(1) >= CLOSE) & np.array([bool(c) for c in found], bool), s.argmax(1), -1) if len(found) else np.zeros(0, int)
-            cid = []
-            for i, c in enumerate(k):
-                own = places[c] if c >= 0 else ()
-                if c >= 0 and not len(own) and len(has):  # the cluster is matched with none; a matched one may be near enough
-                    b = has[s[i, has].argmax()]
-                    own = places[b] if s[i, b] >= max(CLOSE, 0.6 * s[i, c]) else ()
-                cid.append(None if not len(own) else ids[own[(reps[own] @ m[i]).argmax()]] if len(own) > 1 else ids[own[0]])
+            k, cid, near = placed.of([words.core(t) for t in distinct])
             code = np.asarray(code)
             ok = code >= 0
             code = code[ok]
-            out = pd.DataFrame({"cluster_no": k[code].astype(np.int32), "cluster_id": pd.array([cid[c] for c in code], "Int64"), key: pdf[key].to_numpy()[ok], "typical": s.max(1)[code] if len(found) else np.zeros(0)})
+            out = pd.DataFrame({"cluster_no": k[code].astype(np.int32), "cluster_id": pd.array([cid[c] for c in code], "Int64"), key: pdf[key].to_numpy()[ok], "typical": near[code]})
             yield out[out["cluster_no"] >= 0]
 
     kind = dict(notes.dtypes)[key]
     return notes.select(key, text).where(F.col(text).isNotNull()).mapInPandas(of, f"cluster_no int, cluster_id long, `{key}` {kind}, typical double")
 
 
-def clustered(notes: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Words, pivots, clusters and assignment for the notes of a log; representatives: (cluster_id, representative)."""
+def fitted(notes: DataFrame, representatives: DataFrame) -> tuple[DataFrame, Words, np.ndarray, list[tuple[int, str]]]:
+    """Nodes, words, clusters and representatives (cluster_id, representative) for the notes of a log."""
     texts = counted(notes)
     words = content_words(notes, texts)
     nodes = cut(cores(texts, words))
     centres = cluster(nodes, words)
-    reps = [(r[0], r[1]) for r in representatives.select("cluster_id", "representative").where("representative is not null").distinct().orderBy("cluster_id", "representative").collect()]
+    return nodes, words, centres, [(r[0], r[1]) for r in representatives.select("cluster_id", "representative").where("representative is not null").distinct().orderBy("cluster_id", "representative").collect()]
+
+
+def clustered(notes: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Words, pivots, clusters and assignment for the notes of a log; representatives: (cluster_id, representative)."""
+    _, words, centres, reps = fitted(notes, representatives)
     return assign(notes, words, centres, reps)
+
+
+def summed(notes: DataFrame, representatives: DataFrame, most: int = 3, key: str = "raw_row_id", text: str = "query_text") -> DataFrame:
+    """(cluster_id, cluster_no, size, notes): each matched id, and each centre matched with none (cluster_no), with its number of rows and
+    its ``most`` most typical distinct notes as (position, key, text).
+
+    Typical is near to the middle of all the notes of the id, be they of several centres; ties go by the smallest key of a note. A task
+    keeps the ``most`` best notes of each cluster only.
+    """
+    nodes, words, centres, reps = fitted(notes, representatives)
+    placed = Placed(words, centres, reps)
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                k, cid, _ = placed.of(list(pdf["core"]))
+                yield pdf.assign(k=placed.rows(k, cid).astype(np.int32))
+
+    middles = _unit(totals(nodes.mapInPandas(numbered, "core string, n long, k int").where("k >= 0"), words, "k", len(placed.known) + len(centres)))
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size: dict[int, int] = {}
+        kept = pd.DataFrame({"g": [], "t": [], "key": [], "near": []})
+        for pdf in batches:
+            pdf = pdf.sort_values(key)
+            code, distinct = pd.factorize(pdf[text])
+            found = [words.core(t) for t in distinct]
+            k, cid, _ = placed.of(found)
+            g = placed.rows(k, cid)
+            near = np.round((words.matrix(found) * middles[g]).sum(1), 9) if len(middles) else np.zeros(len(found))
+            for x, n in zip(*np.unique(g[code], return_counts=True)):
+                size[x] = size.get(x, 0) + int(n)
+            first = pdf[key].to_numpy()[np.unique(code, return_index=True)[1]]  # the smallest key of each text
+            now = pd.DataFrame({"g": g, "t": distinct, "key": first, "near": near})
+            now = pd.concat([kept, now[now["g"] >= 0]]) if len(kept) else now[now["g"] >= 0]
+            now = now.sort_values(["g", "near", "key"], ascending=[True, False, True]).drop_duplicates(["g", "t"])
+            kept = now.groupby("g").head(most)
+        kept = kept.assign(first=~kept.duplicated("g"))
+        ids = [placed.known[int(x)] if x < len(placed.known) else None for x in kept["g"]]
+        nos = [None if x < len(placed.known) else int(x) - len(placed.known) for x in kept["g"]]
+        yield pd.DataFrame({"cluster_id": pd.array(ids, "Int64"), "cluster_no": pd.array(nos, "Int32"), "n": [size[int(x)] if f else 0 for x, f in zip(kept["g"], kept["first"])], "near": kept["near"].to_numpy(), key: kept["key"].to_numpy(), text: kept["t"].to_numpy()})
+
+    kind = dict(notes.dtypes)[key]
+    parts = notes.select(key, text).where(F.col(text).isNotNull()).mapInPandas(best, f"cluster_id long, cluster_no int, n long, near double, `{key}` {kind}, `{text}` string")
+    each = parts.groupBy("cluster_id", "cluster_no", text).agg(F.sum("n").alias("n"), F.max("near").alias("near"), F.min(key).alias(key))  # at most tasks x clusters x most
+    order = F.array_sort(F.collect_list(F.struct((-F.col("near")).alias("far"), F.col(key).alias("k"), F.col(text).alias("t"))))
+    named = F.transform(F.slice(order, 1, most), lambda x, i: F.struct((i + 1).cast("int").alias("position"), x["k"].alias(key), x["t"].alias(text)))
+    return each.groupBy("cluster_id", "cluster_no").agg(F.sum("n").alias("size"), named.alias("notes"))

@@ -46,13 +46,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each cluster with its true size, the size on file and its three most typical notes (ties by row id)."""
-    stale = read(spark, sf_dir, "repaired_clusters").groupBy("cluster_id").agg(F.max("size").alias("size_on_file"))
-    log = read(spark, sf_dir, "raw_log")
-    rows = note_clusters.clustered(log, read(spark, sf_dir, "repaired_clusters"))
-    outcome = ["cluster_id", F.when(F.col("cluster_id").isNull(), F.col("cluster_no")).alias("cluster_no")]  # several centres may have one id, and one centre several
-    best = rows.groupBy(*outcome).agg(F.count(F.lit(1)).alias("size"), F.min_by("raw_row_id", F.struct(-F.col("typical"), "raw_row_id")).alias("medoid_row_id"))
-    return best.join(stale, "cluster_id", "left").join(log.select(F.col("raw_row_id").alias("medoid_row_id"), F.col("query_text").alias("medoid")), "medoid_row_id")
+    """Each cluster with its true size, the size on file and its three most typical notes (ties by row id), the first of them as medoid."""
+    files = read(spark, sf_dir, "repaired_clusters")
+    stale = files.groupBy("cluster_id").agg(F.max("size").alias("size_on_file"))
+    rows = note_clusters.summed(read(spark, sf_dir, "raw_log"), files)
+    first = F.element_at("notes", 1)
+    return rows.join(stale, "cluster_id", "left").withColumns({"medoid_row_id": first["raw_row_id"], "medoid": first["query_text"]})
 
 
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:

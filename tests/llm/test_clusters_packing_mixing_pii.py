@@ -62,6 +62,20 @@ def test_sizes_are_those_of_the_ids(spark, matters):
     assert {3, 8} <= set(want) and len(got) == len(want) and dict(got) == want
 
 
+def test_three_typical_notes(spark, matters):
+    rows = queries.p5_clusters(spark, matters).collect()
+    of = {r["raw_row_id"]: r["cluster_id"] for r in queries.p5_found(spark, matters).collect()}
+    texts = {r["raw_row_id"]: r["query_text"] for r in spark.read.parquet(f"{matters}/raw_log.parquet").collect()}
+    for r in rows:
+        k = len({n["query_text"] for n in r["notes"]})
+        assert [n["position"] for n in r["notes"]] == list(range(1, k + 1)) and (k == 3 or r["cluster_id"] is None)  # the weather notes are one text
+        assert all(texts[n["raw_row_id"]] == n["query_text"] and of.get(n["raw_row_id"]) == r["cluster_id"] for n in r["notes"])
+        assert (r["medoid_row_id"], r["medoid"]) == (r["notes"][0]["raw_row_id"], r["notes"][0]["query_text"])
+    assert {r["cluster_id"] for r in rows} >= {1, 2, 3, 4, 8}
+    log, reps = (spark.read.parquet(f"{matters}/{t}.parquet") for t in ("raw_log", "repaired_clusters"))
+    assert note_clusters.summed(log.where("false"), reps).count() == 0
+
+
 def test_pivots_are_serial():
     """Batches of pivots keep exactly the nodes that the serial algorithm would take."""
     words = note_clusters.Words({f"w{k}": 1.0 for k in range(6)}, frozenset())
