@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.replies import json_list, label_cut
 from ..functions.vectors import unit
+from .models import Judge
 from .rank import first_per_group
 from .repair import greedy_merges
 from .similarity import similar_pairs
@@ -54,8 +55,8 @@ def cross_cluster(pairs: list[tuple[int, int, float]], freq: dict[int, int]) ->
     return greedy_merges(pairs, freq)
 
 
-def cross_cluster_dedup(rows: DataFrame, key: str, vector: str, cluster: str, freq: str, threshold: float = 0.92, most: int = 1_000_000) -> DataFrame:
-    """Rows with the near-identical ones of other clusters merged: frequencies added up, merged_cross_cluster set.
+def cross_cluster_dedup(rows: DataFrame, key: str, vector: str, cluster: str, freq: str, threshold: float = 0.92, most: int = 1_000_000, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with the near-identical ones of other clusters merged: frequencies (and the columns ``also``) added up, merged_cross_cluster set.
 
     The order of the merges matters, so they run over the list of pairs; more than ``most`` of them are an error, not cut off.
     """
@@ -69,8 +70,8 @@ def cross_cluster_dedup(rows: DataFrame, key: str, vector: str, cluster: str, fr
     gone = cross_cluster(found, values)
     moves = spark.createDataFrame(sorted(gone.items()), f"{key} {dict(rows.dtypes)[key]}, _to {dict(rows.dtypes)[key]}")
     moved = rows.join(moves, key, "left").withColumn("_k", F.coalesce("_to", key))
-    sums = moved.groupBy("_k").agg(F.sum(freq).alias(freq), F.count(F.lit(1)).alias("_n"))
-    return rows.drop(freq).join(sums, rows[key] == sums["_k"]).withColumn("merged_cross_cluster", F.col("_n") > 1).drop("_k", "_n")
+    sums = moved.groupBy("_k").agg(*[F.sum(c).alias(c) for c in (freq, *also)], F.count(F.lit(1)).alias("_n"))
+    return rows.drop(freq, *also).join(sums, rows[key] == sums["_k"]).withColumn("merged_cross_cluster", F.col("_n") > 1).drop("_k", "_n")
 
 
 def merge_groups(vectors: np.ndarray, threshold: float, same=lambda i, j: True) -> list[list[int]]:
@@ -93,14 +94,24 @@ def chunks(members: DataFrame, cluster: str, size: int = 12) -> DataFrame:
     return members.withColumn("chunk_no", F.floor((F.col("position") - 1) / size).cast("int"))
 
 
-def merge_chunk_groups(groups: DataFrame, cluster: str, vector: str, threshold: float = 0.88) -> DataFrame:
-    """(cluster, group_no, merged_no): groups of a cluster's chunks (with the vector of their first member) that are one answer."""
+def merge_chunk_groups(groups: DataFrame, cluster: str, vector: str, threshold: float = 0.88, judge: Judge | None = None, text: str = "question", crop: str = "") -> DataFrame:
+    """(cluster, group_no, merged_no): groups of a cluster's chunks (with the vector and text of their first member) that are one answer.
+
+    With a judge, near ones are merged only if it says so.
+    """
     kind = dict(groups.dtypes)[cluster]
 
     def of(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("group_no")
         to = np.zeros(len(pdf), int)
-        for k, mine in enumerate(merge_groups(np.array(pdf[vector].tolist(), np.float64), threshold), 1):
+
+        def same(i: int, j: int) -> bool:
+            if judge is None:
+                return True
+            reply = judge.reply([f"Crop: {crop}.\nFirst question: {pdf[text].iloc[i]}\nSecond question: {pdf[text].iloc[j]}\nDo both need the same advice? A) yes B) no\nReply with A or B:"])[0]
+            return next((c for c in (reply or "").upper() if c in "ABC"), "B") == "A"
+
+        for k, mine in enumerate(merge_groups(np.array(pdf[vector].tolist(), np.float64), threshold, same), 1):
             to[mine] = k
         return pd.DataFrame({cluster: pdf[cluster], "group_no": pdf["group_no"], "merged_no": to})
 

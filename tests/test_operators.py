@@ -158,6 +158,40 @@ def test_pipeline(spark, tmp_path):
     assert p.stages.read("row_mapping").count() == len(texts) * 3
 
 
+def scripted():
+    class Scripted:
+        """Finds paddy off the crop, tells rust from termites, merges nothing but spellings of one question."""
+
+        def reply(self, prompts):
+            return [self.one(p) for p in prompts]
+
+        def one(self, p):
+            lines = [x.strip() for x in p.split("\n") if x.strip()[:1].isdigit()]
+            if "another crop" in p:
+                return '{"off": [%s]}' % ", ".join(x.split(".")[0] for x in lines if "paddy" in x)
+            if "into one group" in p:
+                parts = [[x.split(".")[0] for x in lines if w in x] for w in ("rust", "termite")]
+                return "[%s]" % ", ".join('{"group": %d, "label": "%s", "indices": [%s]}' % (k, ("spray", "drench")[k], ", ".join(i)) for k, i in enumerate(parts) if i)
+            if "same topic" in p or "one and the same" in p:
+                return "C" if "rust" in p and "termite" in p else "A"
+            return "A" if "same advice" in p else "B"
+
+    return Scripted()  # a local class is sent to the workers by value
+
+
+def test_pipeline_asks_the_judge(spark, tmp_path):
+    texts = [f"wheat rust leaf {w}" for w in "a b c d e f g h i j k l m n".split()] + ["termite in wheat roots", "termites eat wheat roots", "paddy seed rate"]
+    log = spark.createDataFrame([(k, "Wheat", t) for k, t in enumerate(texts * 2)], "raw_row_id long, crop string, query_text string")
+    p = Pipeline(spark, str(tmp_path / "run"), Settings("Wheat", group_sim=0.7, dedup_threshold=1.1), judge=scripted())
+    p.stages.write("labels", p.frequency(log).select(F.lit(0).alias("config_id"), "query_text", F.lit(0).cast("long").alias("cluster_id"), "count"))
+    m = p.repair(0).collect()
+    assert {r["question"] for r in m} == set(texts) - {"paddy seed rate"}
+    assert {(r["cluster_id"], r["parent_cluster"], r["label"], "rust" in r["question"]) for r in m} in ({(1, 0, "spray", True), (2, 0, "drench", False)}, {(2, 0, "spray", True), (1, 0, "drench", False)})
+    faq = p.faq(spark.createDataFrame([("market", False)], "term string, is_phrase boolean")).collect()
+    assert sorted((r["answer_label"], r["raw_frequency"], r["n_questions_in_group"]) for r in faq) == [("drench", 4, 2), ("spray", 28, 14)]
+    assert {r["was_split"] for r in p.stages.read("repaired").collect()} == {True}
+
+
 def test_models(spark):
     df = embedded(spark.createDataFrame([(1, "a b"), (2, None)], "id int, t string"), "t", HashedWords(8))
     assert [len(r["embedding"]) for r in df.collect()] == [8, 8]
