@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import replies
+from .freq import unique_in_cluster
 from .models import Judge, judged
 
 
@@ -44,17 +45,19 @@ def sized_pairs(ids: list[int], sizes: list[int], n: int, seed: int = 42) -> lis
 def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: str = "cluster_id") -> DataFrame:
     """Coherence, separation and outliers of one clustering given as (cluster, question, count): one row of scores.
 
-    The judge sees ten questions of a cluster at most; pairs are drawn among the clusters (a bounded list of ids and sizes).
+    Coherence is judged on all distinct questions of a cluster, outliers on the first ten; pairs are drawn among all clusters (a list of
+    ids and sizes).
     """
     spark = members.sparkSession
-    top = F.slice(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), F.col("question").alias("q")))), lambda s: s["q"]), 1, 10)
-    lists = members.groupBy(cluster).agg(top.alias("qs"), F.sum("count").alias("weight"), F.count(F.lit(1)).alias("n"))
+    once = unique_in_cluster(members, cluster, "question", [-F.col("count"), F.col("question")])
+    qs = F.transform(F.sort_array(F.collect_list(F.struct("position", "question"))), lambda s: s["question"])
+    lists = once.groupBy(cluster).agg(qs.alias("qs"), F.count(F.lit(1)).alias("n")).join(members.groupBy(cluster).agg(F.sum("count").alias("weight")), cluster)
     coherent = judged(lists.where("n >= 2").withColumn("prompt", replies.ask_coherence(F.col("qs"))), "prompt", judge)
     coherent = coherent.select(cluster, replies.score(replies.letter(F.col("reply")), replies.COHERENCE, 0.5).alias("coherence"))
-    odd = judged(lists.where("n >= 4").withColumn("prompt", replies.ask_outlier(F.col("qs"))), "prompt", judge)
+    odd = judged(lists.where("n >= 4").withColumn("prompt", replies.ask_outlier(F.slice("qs", 1, 10))), "prompt", judge)
     odd = odd.select(cluster, (replies.outlier(F.col("reply"), F.size("qs")) >= 0).cast("double").alias("outlier"))
     clusters = lists.join(coherent, cluster, "left").join(odd, cluster, "left").withColumn("k", F.lit(1))
-    known = [(r[0], r[1]) for r in lists.select(cluster, "weight").orderBy(cluster).limit(10_000).collect()]
+    known = [(r[0], r[1]) for r in lists.select(cluster, "weight").orderBy(cluster).collect()]
     drawn = sized_pairs([k for k, _ in known], [int(v) for _, v in known], min(most_pairs, len(known)))
     chosen = spark.createDataFrame([(a, b) for a, b in drawn] or [(-1, -1)], f"a {dict(lists.dtypes)[cluster]}, b {dict(lists.dtypes)[cluster]}")
     pairs = chosen.join(lists.select(F.col(cluster).alias("a"), F.col("qs").alias("qa")), "a").join(lists.select(F.col(cluster).alias("b"), F.col("qs").alias("qb")), "b")

@@ -158,6 +158,16 @@ def test_pipeline(spark, tmp_path):
     assert p.stages.read("row_mapping").count() == len(texts) * 3
 
 
+def test_judge_sees_all_distinct_questions(spark):
+    class Tail:
+        def reply(self, prompts):
+            return ["C" if "tail" in p and "one and the same" in p else "A" for p in prompts]
+
+    m = spark.createDataFrame([(1, f"q{k}", 100 - k) for k in range(30)] + [(1, "odd tail", 1), (2, "same", 2), (2, " Same ", 1)], "cluster_id long, question string, count long")
+    assert evaluate.evaluate(m.where("cluster_id = 1"), Tail()).first()["coherence_mean"] == pytest.approx(0.2)
+    assert evaluate.evaluate(m.where("cluster_id = 2"), Tail()).first()["coherence_mean"] == 0.0  # one distinct question: not asked
+
+
 def scripted():
     class Scripted:
         """Finds paddy off the crop, tells rust from termites, merges nothing but spellings of one question."""
