@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import replies
+from ..functions.text import clean
+from . import tfidf
 from .freq import unique_in_cluster
 from .models import Judge, judged
 
@@ -42,11 +44,12 @@ def sized_pairs(ids: list[int], sizes: list[int], n: int, seed: int = 42) -> lis
     return out
 
 
-def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: str = "cluster_id") -> DataFrame:
+def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: str = "cluster_id", whole: DataFrame | None = None, most_merges: int = 30) -> DataFrame:
     """Coherence, separation and outliers of one clustering given as (cluster, question, count): one row of scores.
 
     Coherence is judged on all distinct questions of a cluster, outliers on the first ten; pairs are drawn among all clusters (a list of
-    ids and sizes).
+    ids and sizes). Merges are asked for among the clusters of ``whole`` (the members before the coverage cap; all if not given) that share
+    a keyword.
     """
     spark = members.sparkSession
     once = unique_in_cluster(members, cluster, "question", [-F.col("count"), F.col("question")])
@@ -62,7 +65,18 @@ def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: st
     chosen = spark.createDataFrame([(a, b) for a, b in drawn] or [(-1, -1)], f"a {dict(lists.dtypes)[cluster]}, b {dict(lists.dtypes)[cluster]}")
     pairs = chosen.join(lists.select(F.col(cluster).alias("a"), F.col("qs").alias("qa")), "a").join(lists.select(F.col(cluster).alias("b"), F.col("qs").alias("qb")), "b")
     apart = judged(pairs.withColumn("prompt", replies.ask_separation(F.col("qa"), F.col("qb"))), "prompt", judge)
-    apart = apart.select(F.lit(1).alias("k"), replies.score(replies.letter(F.col("reply")), replies.SEPARATION, 0.5).alias("separation"), F.lit(0.0).alias("merge"))
-    return scores(clusters, apart, "k").drop("k")
-
-
+    none = F.lit(None).cast("double")
+    apart = apart.select(F.lit(1).alias("k"), replies.score(replies.letter(F.col("reply")), replies.SEPARATION, 0.5).alias("separation"), none.alias("merge"))
+    merges = judged(merge_pairs(members if whole is None else whole, cluster, most_merges).withColumn("prompt", replies.ask_merge(F.col("qa"), F.col("qb"))), "prompt", judge)
+    merges = merges.select(F.lit(1).alias("k"), none.alias("separation"), replies.score(replies.letter(F.col("reply"), "B"), replies.MERGE, 0.0).alias("merge"))
+    return scores(clusters, apart.unionByName(merges), "k").drop("k")
+
+
+def merge_pairs(members: DataFrame, cluster: str = "cluster_id", most: int = 30) -> DataFrame:
+    """(cluster_a, cluster_b, qa, qb): pairs of clusters that share one of their first keywords, with three questions of each."""
+    docs = members.select("question").where("question is not null").distinct().withColumn("cleaned", clean("question"))
+    kw = tfidf.keywords(tfidf.weights(docs, "question", "cleaned", tfidf.vocabulary(docs, "question", "cleaned")), "question")
+    pairs = tfidf.shared_keyword_pairs(tfidf.cluster_keywords(members.select(cluster, "question").join(kw, "question"), cluster), cluster, n=most)
+    first = unique_in_cluster(members, cluster, "question", [-F.col("count"), F.col("question")], 3)
+    first = first.groupBy(cluster).agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "question"))), lambda s: s["question"]).alias("q"))
+    return pairs.join(first.select(F.col(cluster).alias("cluster_a"), F.col("q").alias("qa")), "cluster_a").join(first.select(F.col(cluster).alias("cluster_b"), F.col("q").alias("qb")), "cluster_b")

@@ -58,7 +58,7 @@ class Pipeline:
             members = labels.where((F.col("config_id") == r["config_id"]) & (F.col("cluster_id") != -1)).select("cluster_id", F.col("query_text").alias("question"), "count")
             sizes = members.groupBy("cluster_id").agg(F.sum("count").alias("size"))
             kept = cluster.coverage_capped(sizes, self.s.coverage_cap).select("cluster_id")
-            scores.append(evaluate.evaluate(members.join(kept, "cluster_id", "left_semi"), self.judge).withColumn("config_id", F.lit(r["config_id"])))
+            scores.append(evaluate.evaluate(members.join(kept, "cluster_id", "left_semi"), self.judge, whole=members).withColumn("config_id", F.lit(r["config_id"])))
         out = scores[0]
         for x in scores[1:]:
             out = out.unionByName(x)

@@ -168,6 +168,18 @@ def test_judge_sees_all_distinct_questions(spark):
     assert evaluate.evaluate(m.where("cluster_id = 2"), Tail()).first()["coherence_mean"] == 0.0  # one distinct question: not asked
 
 
+def test_merge_pass(spark):
+    class Merges:
+        def reply(self, prompts):
+            return ["A" if "become one" in p and "rust" in p else "B" for p in prompts]
+
+    texts = {1: ["rust spots", "rust leaves"], 2: ["rust stripes", "rust powder"], 3: ["termite roots", "termite mounds"], 4: ["termite attack", "termite wings"]}
+    m = spark.createDataFrame([(c, q, 1) for c, qs in texts.items() for q in qs], "cluster_id long, question string, count long")
+    s = evaluate.evaluate(m, Merges()).first()
+    assert s["merge_rate"] == 0.5
+    assert s["composite"] == pytest.approx(0.45 * s["separation_mean"] + 0.3 * s["coherence_mean"] + 0.25 * (1 - s["outlier_rate"]) - 0.2 * 0.5)
+
+
 def scripted():
     class Scripted:
         """Finds paddy off the crop, tells rust from termites, merges nothing but spellings of one question."""
