@@ -1,19 +1,26 @@
 """Problem 8: personal details in free text, found and replaced by typed placeholders.
 
-Method: a semi-Markov conditional random field. Candidate segments (bounded to ``LONGEST`` words) are scored as wholes by their type, shape,
-inner words and surroundings; words outside segments score nothing. The best set of segments that do not overlap is found by dynamic
-programming over their ends, which decides boundaries and types together. Training maximises the conditional likelihood of the true
-segmentations with the forward-backward recursion over the same lattice.
-
-* There are no labelled documents, so the model is trained on ``SENTENCES`` generated sentences whose segments are known (module
-  ``pii_training``), once per query, on the driver.
-* Words that stand in lower case in a share of all documents, or in any case in a larger share, are common words, hence unlikely names;
-  they are counted over all documents. As each of them is in at least 1/2000 of the documents, their number is bounded by 2000 times the
-  distinct words of a mean document.
-* Given names that stand alone are looked for again once the full names of the document are known.
-
-Every document is read whole, whatever its length; texts are shuffled only where there are fewer files than cores. Null and empty texts give no rows. Repeated documents
-give the same rows under their own ids.
+Method: a semi-Markov conditional random field. A candidate segment is any span of up to ``LONGEST`` tokens within a line that starts at a
+capital, a digit, a phone sign or a word of a script without capitals (in texts of one case: at any word that is not common), under every
+kind that its first token allows. A segment is scored as a whole by its shape, the words inside, its length and its surroundings; tokens
+outside segments score nothing. The best set of segments that do not overlap is found by dynamic programming over their ends, which
+decides boundaries and kinds together. Training maximises the conditional likelihood of the true segmentations with the
+forward-backward recursion over the same lattice.
+
+* There are no labelled documents, so the model is trained on ``SENTENCES`` generated sentences of general language whose segments are known
+  (module ``pii_training``), once per query, on the driver. None of these sentences is taken from the documents.
+* Whether a word is common is a feature, never a filter. Words of the scripts with capitals are common if they stand in lower case in
+  ``LEAST_SHARE`` of the documents that mix both cases and in most of those that they are in; words of other scripts if they are in
+  ``LEAST_SHARE`` of all; those of the training sentences are common too. Counts cover all documents; as only shares decide, there are at most 1/``LEAST_SHARE`` times the
+  distinct words of a mean document of them, at any number of documents, and a document is judged alike in a table of any size with
+  the same shares.
+* Given names that stand alone are scored again once the full names of the document are known.
+
+The score of a segment is a sum over small groups of features (word inside, word before, pattern, ...), whose weights are added up
+once and kept by the task, so a candidate costs a few dictionary reads. A span is only left unextended at the end of a line or sentence.
+
+Every document is read whole, whatever its length; texts are not shuffled. Null and empty texts give no rows. Repeated documents give the
+same rows under their own ids. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +28,9 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,240 +40,401 @@ from ._common import spread
 KINDS = ("person_name", "phone", "id_number", "email", "address")
 PLACEHOLDER = {"person_name": "[NAME]", "phone": "[PHONE]", "id_number": "[ID]", "email": "[EMAIL]", "address": "[ADDRESS]"}
 LONGEST = 24
-SENTENCES = 4000
-
-#: Words that name a street or a building (fixed values).
-STREETS = frozenset("road lane marg gali colony apartments street cross nagar chowk path avenue layout sector society enclave towers".split())
-#: Titles and words before names that are no part of them (fixed values).
-TITLES = frozenset("shri smt mr mrs ms miss dr sri kumari prof capt adv er sir madam contact name applicant dear regards yours signed residing address mobile email caller thanks".split())
-_DIGIT_WORD = r"(?:zero|one|two|three|four|five|six|seven|eight|nine|oh|double|triple)"
-
-_EMAILS = (
-    ("plain", re.compile(r"[\w][\w.+\-]*@[\w\-]+(?:\.[\w\-]+)+")),
-    ("spaced", re.compile(r"[\w][\w.+\-]* ?@ ?[\w\-]+(?:\.[\w\-]+)+")),
-    ("bracket", re.compile(r"[\w][\w.+\-]* ?[(\[{<] ?at ?[)\]}>] ?[\w\-]+(?:(?:\.| ?[(\[{<] ?dot ?[)\]}>] ?)[\w\-]+)+", re.I)),
-    ("worded", re.compile(r"[\w][\w.+\-]* at [\w\-]+(?: dot [\w\-]+)+", re.I)),
-)
-_EDGE, _END = r"(?<![\w.+\-/])", r"(?![\w/]|[.\-]\d)"
-_PHONES = (
-    ("country", re.compile(rf"(?<![\w+])\+\d{{1,3}}[ \-]?(?:\d{{10}}|\d{{5}}[ \-]\d{{5}}){_END}")),
-    ("bracket", re.compile(rf"(?<![\w+])\(0\d{{2,4}}\)[ \-]?\d{{3,4}}[ \-]?\d{{3,4}}{_END}")),
-    ("pair", re.compile(rf"{_EDGE}\d{{5}} \d{{5}}{_END}")),
-    ("trunk", re.compile(rf"{_EDGE}0\d{{10}}{_END}")),
-    ("dashes", re.compile(rf"{_EDGE}\d{{3}}-\d{{3}}-\d{{4}}{_END}")),
-    ("dots", re.compile(rf"{_EDGE}\d{{4}}\.\d{{3}}\.\d{{3}}{_END}")),
-    ("ten", re.compile(rf"{_EDGE}\d{{10}}{_END}")),
-    ("words", re.compile(rf"\b{_DIGIT_WORD}(?:[ ,\-]+{_DIGIT_WORD}){{8,12}}\b", re.I)),
-    ("other", re.compile(rf"{_EDGE}(?:\+|\()?\d(?:[ .\-()]{{0,2}}\d){{6,14}}{_END}")),
-)
-_IDS = (
-    ("groups", re.compile(rf"{_EDGE}\d{{4}}([ \-])\d{{4}}\1\d{{4}}{_END}")),
-    ("twelve", re.compile(rf"{_EDGE}\d{{12}}{_END}")),
-    ("5a4d1a", re.compile(rf"(?<![\w/\-])[A-Z]{{5}}\d{{4}}[A-Z]{_END}", re.I)),
-    ("3a7d", re.compile(rf"(?<![\w/\-])[A-Z]{{3}}\d{{7}}{_END}", re.I)),
-    ("mixed", re.compile(rf"(?<![\w/\-])(?=[A-Z\d]*\d{{4}})(?=\d*[A-Z])[A-Z\d]{{8,14}}{_END}", re.I)),
-    ("digits", re.compile(rf"{_EDGE}\d{{8,11}}{_END}")),
-)
-_HOUSE = re.compile(r"(?:(?<![\w])(?:h\. ?no\.?|house(?: no\.?)?|flat(?: no\.?)?|door no\.?|plot(?: no\.?)?|no\.|d\. ?no\.?) ?)?(?<![\w/\-.])\d{1,4}(?:[/\-][\dA-Z]{1,4})?(?![\w/])", re.I)
-_TOKEN = re.compile(r"\w+|[^\w\s]|\n")
-_NAME_WORD = re.compile(r"[^\W\d_]+")
+#: Words of a person's name, initials included.
+NAME_WORDS = 5
+SENTENCES = 3000
+LEAST_SHARE = 1 / 2000
 
-
-class Text:
-    """A text with its tokens."""
-
-    def __init__(self, text: str):
-        self.text = text
-        self.tokens = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
-        self.starts = [t[0] for t in self.tokens]
-        letters = [c for c in text if c.isalpha() and c < "ɐ"]
-        upper = sum(c.isupper() for c in letters)
-        self.mode = "lower" if upper <= 0.005 * len(letters) else "upper" if upper >= 0.9 * len(letters) else "normal"
-
-    def around(self, start: int, end: int) -> tuple[str, str, str, str]:
-        """The two tokens before and after a span."""
-        i = bisect_right(self.starts, start) - 1
-        while i >= 0 and self.tokens[i][0] >= start:
-            i -= 1
-        j = bisect_right(self.starts, end - 1)
-        at = lambda k: self.tokens[k][2].lower() if 0 <= k < len(self.tokens) else "^"
-        return at(i - 1), at(i), at(j), at(j + 1)
-
-
-def _shape(token: str) -> str:
-    return "9" if token.isdigit() else token
+#: Digits, words (with the vowel signs of Indian scripts, which are no letters), line ends, signs.
+_TOKEN = re.compile(r"\d+|[^\W\d_]+(?:(?![\u0964\u0965])[^\d\W\u0900-\u0d7f]*[\u0900-\u0963\u0971-\u09e3\u09f0-\u0a65\u0a70-\u0ae5\u0b70-\u0be5\u0c00-\u0c65\u0d00-\u0d65][^\W\d_]*)*|\n|[^\s]")
+_DIGITS = frozenset("zero one two three four five six seven eight nine oh double triple".split())
 
 
-Candidate = tuple[int, int, str, list[str]]
-
+class Text:
+    """A text with its tokens and the class of each.
 
-def candidates(t: Text, common: frozenset[str], known: frozenset[str] = frozenset()) -> list[Candidate]:
-    """Segments that could be a personal detail: (start, end, kind, features)."""
-    out: list[Candidate] = []
-    taken: set[tuple[int, int, str]] = set()
-    text = t.text
+    Classes: ``d`` digits, ``c``/``C`` common word in lower case / with a capital, ``u``/``U`` other word, ``A`` other word in capitals, ``I``
+    one capital, ``X``/``x`` other / common word of a script without capitals, else the sign itself.
+    """
 
-    def add(start: int, end: int, kind: str, features: list[str]) -> None:
-        if (start, end, kind) in taken:
-            return
-        taken.add((start, end, kind))
-        b2, b1, a1, a2 = (_shape(x) for x in t.around(start, end))
-        out.append((start, end, kind, [f"{kind}|{f}" for f in (f"b1={b1}", f"b2={b2} {b1}", f"a1={a1}", f"a2={a1} {a2}", "bias", *features)]))
-
-    if "@" in text or " at " in text or "at)" in text.lower() or "at]" in text.lower() or " AT " in text:
-        for shape, pattern in _EMAILS:
-            for m in pattern.finditer(text):
-                add(m.start(), m.end(), "email", [f"s={shape}", f"dots={min(3, m.group().count('.') + m.group().lower().count('dot'))}"])
-    for shape, pattern in _PHONES:
-        for m in pattern.finditer(text):
-            digits = sum(c.isdigit() for c in m.group())
-            add(m.start(), m.end(), "phone", [f"s={shape}", f"n={digits}"])
-    for shape, pattern in _IDS:
-        for m in pattern.finditer(text):
-            add(m.start(), m.end(), "id_number", [f"s={shape}", f"n={len(m.group())}"])
-    _addresses(t, common, add)
-    _names(t, common, known, add)
-    return out
-
-
-def _addresses(t: Text, common: frozenset[str], add) -> None:
-    text, tokens = t.text, t.tokens
-    for m in _HOUSE.finditer(text):
-        for start in {m.start(), m.end() - len(re.search(r"\d.*$", m.group()).group())}:
-            lead = text[start : m.end()]
-            kind = re.sub(r"\d+", "9", re.sub(r"[a-z]$", "a", lead.lower()))
-            house = "house" if kind[:1].isalpha() else "number"
-            cut = bool(start > m.start())
-            i = bisect_right(t.starts, m.end() - 1)
-            words, commas, street = 0, 0, ""
-            for k in range(i, min(i + 2 * LONGEST, len(tokens))):
-                s, e, w = tokens[k]
-                if w in ",-/":
-                    commas += w == ","
-                    continue
-                low = w.lower()
-                if w == "\n" or not (w[0].isalnum()) or words >= LONGEST:
-                    break
-                words += 1
-                if low in STREETS and low != "nagar":
-                    street = low
-                elif not street and words > 6:
-                    break
-                if street and low not in STREETS:
-                    six = bool(re.fullmatch(r"\d{6}", w))
-                    before = tokens[k - 1][2].lower()
-                    after = tokens[k + 1][2] if k + 1 < len(tokens) else "^"
-                    then = tokens[k + 2][2] if k + 2 < len(tokens) else "^"
-                    pin = bool(re.fullmatch(r"\d{6}", after) or (after in ",-" and re.fullmatch(r"\d{6}", then)))
-                    place = "pin" if six else "digits" if w.isdigit() else "common" if low in common else "word"
-                    goes = "pin" if pin else "more" if after == "," and then[:1].isalpha() and then.lower() not in ("tel", "ph", "phone", "mobile", "and", "card") else "part" if after.lower() in STREETS or after.lower() == "temple" else "end"
-                    add(start, e, "address", [f"lead={kind[:8]}", f"house={house}{cut}", f"last={place}", f"goes={goes}", f"last+goes={place} {goes}", f"street={street}", f"commas={min(commas, 5)}", f"before={before if before in (',', '-', 'ward', 'post', 'near') else 'w'} {place}"])
-
-
-def _names(t: Text, common: frozenset[str], known: frozenset[str], add) -> None:
-    tokens, normal = t.tokens, t.mode == "normal"
-    n = len(tokens)
+    def __init__(self, text: str, common: frozenset[str]):
+        self.text = text
+        self.words, self.starts, self.ends = [], [], []
+        for m in _TOKEN.finditer(text):
+            self.words.append(m.group())
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+        letters = sum(c.isalpha() for c in text)
+        upper, lower = sum(c.isupper() for c in text), sum(c.islower() for c in text)
+        self.mode = "n" if 0.005 * letters < upper < 0.85 * (upper + lower) else "o"  # both cases, one case
+        self.low = [w.lower() for w in self.words]
+        self.cls = [self._class(w, k, common) for w, k in zip(self.words, self.low)]
+        n = len(self.words)
+        self.gap = [0] + [self.starts[k] - self.ends[k - 1] for k in range(1, n)]
+
+    def _class(self, w: str, low: str, common: frozenset[str]) -> str:
+        a = w[0]
+        if a.isdigit():
+            return "d"
+        if not a.isalpha():
+            return w
+        known = low in common
+        if a.lower() == a.upper():
+            return "x" if known else "X"
+        if len(w) == 1 and (a.isupper() or self.mode == "o"):
+            return "I"
+        if self.mode == "o":
+            return "c" if known else "U"
+        if a.isupper():
+            return "C" if known else "A" if len(w) > 3 and w.isupper() else "U"
+        return "c" if known else "u"
+
+    def at(self, k: int) -> str:
+        return ("#" if self.cls[k] == "d" else self.low[k]) if 0 <= k < len(self.words) else "^"
+
+    def kind(self, k: int) -> str:
+        return self.cls[k] if 0 <= k < len(self.words) else "^"
+
+
+#: A segment with the groups of features that score it: (first token, one past the last, kind, groups).
+Candidate = tuple[int, int, str, list[tuple]]
+_NAMELIKE = frozenset("UAXICx")
+_WORDLIKE = frozenset("cCuUAIXx")
+
+
+def _around(t: Text, i: int, j: int, kind: str) -> list[tuple]:
+    """Groups for what stands before and after the tokens i to j - 1."""
+    return [(kind, "b", t.at(i - 1), t.kind(i - 1), t.at(i - 2), t.kind(i - 2), t.gap[i] > 0), (kind, "a", t.at(j), t.kind(j), t.at(j + 1), t.kind(j + 1), j < len(t.words) and t.gap[j] > 0)]
+
+
+def _breaks(t: Text, k: int) -> bool:
+    """Does the token end the line or, as a full stop, the sentence?"""
+    w = t.words[k]
+    if w == "\n" or w in ";|!?।":
+        return True
+    if w != "." or k + 1 >= len(t.words) or not t.gap[k + 1]:
+        return w == "." and k + 1 >= len(t.words)
+    before = t.low[k - 1] if k else ""
+    return len(before) > 4 or not before[:1].isalpha()
+
+
+def candidates(t: Text, known: frozenset[str] = frozenset()) -> Iterator[Candidate]:
+    """All segments that could be a personal detail, with the groups of features that score them."""
+    n = len(t.words)
+    words, cls, gap = t.words, t.cls, t.gap
     for i in range(n):
-        s, _, w = tokens[i]
-        if not w[0].isalpha() or (normal and not w[0].isupper()) or w[0] > "ɐ":
+        c = cls[i]
+        if i and not gap[i] and cls[i - 1] in _WORDLIKE | {"d"} and c != "(":
+            continue  # within a word
+        if c == "d" or words[i] in "+(" or t.low[i] in _DIGITS:
+            yield from _numbers(t, i)
+        if c in _WORDLIKE or c == "d":
+            yield from _codes(t, i)
+            yield from _emails(t, i)
+        if c in "UAXIx" or (c == "C" and t.mode == "n"):
+            yield from _names(t, i, known)
+        if c in "dUAXIC#" or (c == "c" and (t.mode == "o" or t.kind(i + 1) == "d" or t.at(i + 1) == ".")):
+            yield from _addresses(t, i)
+
+
+def _numbers(t: Text, i: int) -> Iterator[Candidate]:
+    """Runs of digits, or of words for digits, with single signs and blanks between them."""
+    shape, digits, j = [], 0, i
+    spoken = t.low[i] in _DIGITS
+    while j < len(t.words) and j - i < LONGEST:
+        w = t.words[j]
+        blank = "_" if j > i and t.gap[j] else ""
+        if t.gap[j] > 1 and j > i:
+            return
+        if spoken and t.low[j] in _DIGITS:
+            digits += 1
+            j += 1
+            if digits >= 5:
+                yield i, j, "phone", [("phone", "spoken", min(digits, 13), t.low[j] in _DIGITS if j < len(t.words) else False, t.low[i - 1] in _DIGITS if i else False), *_around(t, i, j, "phone")]
+            continue
+        if spoken and w in ",-":
+            j += 1
+            continue
+        if not spoken and t.cls[j] == "d":
+            digits += len(w)
+            if digits > 16:
+                return
+            shape.append(f"{blank}{len(w)}")
+            j += 1
+            if digits >= 5:
+                goes = "".join(("_" if t.gap[j] else "", t.kind(j))) if j < len(t.words) else "^"
+                goes2 = t.kind(j + 1) if goes in ("-", ".", "/", "_-") else ""
+                from_ = "".join((t.kind(i - 1), "_" if t.gap[i] else "")) if i else "^"
+                from2 = t.kind(i - 2) if from_ in ("-", ".", "/", "-_", "+", "+_") else ""
+                whole = "".join(shape)
+                for kind in ("phone", "id_number"):
+                    yield i, j, kind, [(kind, "shape", whole, digits), (kind, "goes", goes, goes2), (kind, "from", from_, from2), *_around(t, i, j, kind)]
             continue
-        k, initials, words = i, 0, []
-        while len(w) == 1 and k + 2 < n and tokens[k + 1][2] == "." and initials < 2 and tokens[k + 2][0] - tokens[k + 1][1] <= 1:  # an initial
-            initials += 1
+        if not spoken and w in "+().-/" and not (w == "+" and j > i):
+            shape.append(blank + w)
+            j += 1
+            continue
+        return
+
+
+def _codes(t: Text, i: int) -> Iterator[Candidate]:
+    """One unbroken run of letters and digits, such as the number of a card."""
+    j, shape, digits = i, [], 0
+    while j < len(t.words) and (j == i or not t.gap[j]) and t.cls[j] in _WORDLIKE | {"d"} and j - i < 8 and ord(t.words[j][0]) < 0x250:
+        shape.append(("9" if t.cls[j] == "d" else "a") + str(len(t.words[j])))
+        digits += len(t.words[j]) if t.cls[j] == "d" else 0
+        j += 1
+    if 1 < j - i and digits >= 3:
+        goes = t.kind(j) if j < len(t.words) and not t.gap[j] else "_"
+        yield i, j, "id_number", [("id_number", "code", "".join(shape), digits), ("id_number", "goes", goes, t.kind(j + 1) if goes in "-./" else ""), *_around(t, i, j, "id_number")]
+
+
+def _emails(t: Text, i: int) -> Iterator[Candidate]:
+    """A local part, an at sign or a word for it, and a domain whose dots may be words; each end of the domain is a candidate."""
+    n, k = len(t.words), i
+    while k + 1 < n and not t.gap[k + 1] and k - i < 10 and (t.cls[k + 1] in _WORDLIKE | {"d"} or t.words[k + 1] in "._+-%"):
+        k += 1
+    k += 1
+    sign, k = _mark(t, k, "@", "at")
+    if not sign:
+        return
+    before = t.kind(i - 1) if not t.gap[i] else "_"
+    dots, how = 0, sign
+    last = k
+    while k < n and (t.cls[k] in _WORDLIKE or t.cls[k] == "d"):
+        k += 1
+        while k + 1 < n and not t.gap[k] and not t.gap[k + 1] and (t.words[k] == "-" or t.words[k] == "_") and t.cls[k + 1] in _WORDLIKE | {"d"}:
             k += 2
-            w = tokens[k][2]
-        while len(words) < 3 and k < n:
-            a, e, w = tokens[k]
-            if not _NAME_WORD.fullmatch(w) or len(w) < 3 or (normal and not w[0].isupper()) or w[0] > "ɐ" or (words and a - tokens[k - 1][1] != 1):
-                break
-            low = w.lower()
-            if low in common or low in TITLES:
-                break
-            words.append(low)
+        while k < n and not t.gap[k] and t.cls[k] in _WORDLIKE | {"d"}:
             k += 1
-            last, first = words[-1], words[0]
-            features = [f"n={len(words)}", f"ini={min(initials, 2)} {len(words)}", f"l3={last[-3:]} {len(words) > 1 or initials > 0}", f"l4={last[-4:]}", f"l3={last[-3:]}", f"f2={first[-2:]}", f"f3={first[-3:]} {len(words)}", f"mode={t.mode}"]
-            if len(words) == 1 and not initials:
-                features += ["alone", "alone+known" if first in known else "alone+new"]
-                b2, b1, a1, a2 = t.around(s, e)
-                features += [f"alone|{b1}|{a1}", f"alone|{a1} {a2}", f"alone|{b2} {b1}"]
-            nxt = tokens[k][2] if k < n and tokens[k][0] - e == 1 else ""
-            if nxt and nxt[0].isalpha() and len(words) < 3 and nxt.lower() not in common and (nxt[0].isupper() or not normal):
-                features += ["goes on", f"goes on {nxt.lower()[-3:]}"]
-            prev = tokens[i - 1] if i else None
-            if prev and s - prev[1] == 1 and prev[2][0].isalpha() and prev[2].lower() not in common and (prev[2][0].isupper() or not normal) and len(prev[2]) > 2:
-                features += [f"goes before {prev[2].lower()[-2:]}", "goes before"]
-            if prev and prev[2] == "." and i > 1 and len(tokens[i - 2][2]) == 1:
-                features.append("initial before")
-            add(s, e, "person_name", features)
+        last = k
+        dot, then = _mark(t, k, ".", "dot")
+        more = bool(dot) and then < n and t.cls[then] in _WORDLIKE and (dot != "." or not (t.gap[then] or t.gap[k]))
+        yield i, last, "email", [("email", "how", how, min(dots, 4), more), ("email", "mark", sign, before), *_around(t, i, last, "email")]
+        if not more:
+            return
+        dots, how, k = dots + 1, sign + dot, then
+
+
+def _mark(t: Text, k: int, sign: str, word: str) -> tuple[str, int]:
+    """The sign, or the word for it, at token k with or without brackets: (how it is written or '', the token after it)."""
+    n = len(t.words)
+    if k < n and t.words[k] == sign:
+        return ("_" if t.gap[k] else "") + sign, k + 1
+    if k + 2 < n and t.words[k] in "([{<" and t.low[k + 1] in (word, sign) and t.words[k + 2] in ")]}>":
+        return "[" + word, k + 3
+    if k < n and t.low[k] == word and t.gap[k]:
+        return word, k + 1
+    return "", k
+
+
+def _names(t: Text, i: int, known: frozenset[str]) -> Iterator[Candidate]:
+    """One to NAME_WORDS words side by side, initials with or without a full stop among them."""
+    n, j, count = len(t.words), i, 0
+    pattern, inner = [], []
+    first = t.low[i]
+    while j < n and count < NAME_WORDS:
+        c = t.cls[j]
+        if c not in _NAMELIKE or (j > i and t.gap[j] != 1 and not (t.words[j - 1] == "." and t.gap[j] == 0)) or (t.words[j].islower() and t.mode == "n" and c != "X" and c != "x"):
+            return
+        count += 1
+        pattern.append(c)
+        inner.append(("person_name", "w", t.low[j], c, count == 1))
+        j += 1
+        end, shape = j, "".join(pattern)
+        if c == "I" and j < n and t.words[j] == "." and not t.gap[j]:
+            pattern.append(".")
+            j += 1
+        if count == 1 and c in "IC":
+            continue  # an initial or a common word alone is no name: it scores with what follows
+        on = end < n and t.gap[end] == 1 and t.cls[end] in "UAXI"
+        prev = i > 0 and t.gap[i] == 1 and t.cls[i - 1] in "UAXI"
+        dot = i > 1 and t.words[i - 1] == "." and t.cls[i - 2] == "I"
+        groups = [("person_name", "p", shape, t.mode), ("person_name", "on", on, prev, dot, min(count, 3), t.kind(end), t.mode), ("person_name", "len", min(len(t.words[end - 1]), 4), c, count), *inner, *_around(t, i, end, "person_name")]
+        if count == 1:
+            groups.append(("person_name", "alone", first in known, t.kind(i - 1), t.at(i - 1), t.at(end)))
+        yield i, end, "person_name", groups
+
+
+def _addresses(t: Text, i: int) -> Iterator[Candidate]:
+    """From a word or number that may name a house on to each word or number up to LONGEST tokens further."""
+    n = len(t.words)
+    commas = words = small = numbers = 0
+    top = ""  # the classes before the first comma
+    inner: list[tuple] = []
+    lead = "d" if t.cls[i] == "d" else t.cls[i]
+    head = [("address", "lead", t.low[i] if lead != "d" else "#", lead, t.kind(i + 1) if i + 1 < n else "^")]
+    back = ("address", "from", t.kind(i - 1), i > 0 and t.gap[i] > 0, t.at(i - 2) if t.kind(i - 1) in ".,-" else "", t.cls[i - 2] if i > 1 else "^")
+    for j in range(i, min(n, i + LONGEST)):
+        c, w = t.cls[j], t.words[j]
+        if j > i and _breaks(t, j):
+            return
+        if not commas:
+            top += c
+        if c == "d":
+            numbers += 1
+            inner.append(("address", "d", len(w) if len(w) < 7 else 7, j == i))
+        elif c in _WORDLIKE:
+            words += 1
+            small += c in "cx"
+            inner.append(("address", "w", t.low[j], c, j == i))
+        elif w == ",":
+            commas += 1
+            if commas == 1:
+                head.append(("address", "top", top[:6], t.low[j - 1] if t.cls[j - 1] in _WORDLIKE else "#"))
+            continue
+        elif w in "-/.#():'&–":
+            inner.append(("address", "s", w, t.at(j - 1) if w == "." else ""))
+            continue
+        else:
+            return
+        if words + numbers < 3 or small > 5 or (t.mode == "n" and c == "c"):
+            if small > 5:
+                return
+            continue
+        pin = c == "d" and len(w) == 6
+        after, then = t.kind(j + 1), t.kind(j + 2)
+        nearby = "pin" if (after == "d" and len(t.words[j + 1]) == 6) or (after in (",", "-", "–") and then == "d" and len(t.words[j + 2]) == 6) else "word" if after == "," and then in "UAXI" and j + 3 < n else "join" if after in "UAXICd" and t.gap[j + 1] == 1 else "part" if after in ("-", "/") and not t.gap[j + 1] else after if after in (",", ".", "\n", "^") else "w"
+        where = "pin" if pin else "d" if c == "d" else c
+        prior = t.at(j - 1) if j > i else ""
+        yield i, j + 1, "address", [
+            *head, back, *inner, ("address", "end", where, nearby), ("address", "last", t.low[j] if c in "cCUA" else where, nearby), ("address", "before last", prior if prior in ",-–" or t.cls[j - 1] in "cC" else "w", where),
+            ("address", "size", min(commas, 4), min(numbers, 4), lead == "d"), ("address", "words", min(words, 9), commas > 0, pin), ("address", "small", min(small, 4)), *_around(t, i, j + 1, "address"),
+        ]
+
+
+def features(group: tuple) -> list[str]:
+    """The features of a group."""
+    kind, what = group[0], group[1]
+    f = [f"{kind}|{what}|{'|'.join(map(str, group[2:]))}"]
+    if what == "b":
+        w, c, w2, c2, gap = group[2:]
+        return [f"{kind}|b|{w}", f"{kind}|bc|{c}|{gap}", f"{kind}|b2|{w2}|{w}", f"{kind}|bcc|{c2}|{c}|{gap}", f"{kind}|b3|{w2}|{c}"]
+    if what == "a":
+        w, c, w2, c2, gap = group[2:]
+        return [f"{kind}|a|{w}", f"{kind}|ac|{c}|{gap}", f"{kind}|a2|{w}|{w2}", f"{kind}|acc|{c}|{c2}|{gap}"]
+    if what == "w":
+        w, c, first = group[2:]
+        return [f"{kind}|w|{w}", f"{kind}|wf|{w}|{first}", f"{kind}|wc|{c}|{first}", f"{kind}|s3|{w[-3:]}", f"{kind}|n|{min(len(w), 5)}"]
+    if what == "shape":
+        return [*f, f"{kind}|digits|{group[3]}", f"{kind}|signs|{re.sub('[0-9]+', '9', group[2])}", f"{kind}|groups|{sum(x.isdigit() for x in re.split('([0-9]+)', group[2]))}", f"{kind}|start|{group[2][:1] in '+(' and group[2][:1]}|{group[3]}"]
+    if what == "code":
+        return [*f, f"{kind}|letters|{re.sub('[0-9]', '', group[2])}"]
+    if what == "p":
+        return [*f, f"{kind}|size|{len(group[2].replace('.', ''))}", f"{kind}|bias", f"{kind}|common|{group[2].count('C') + group[2].count('x')}", f"{kind}|initial|{'I' in group[2]}"]
+    if what == "on":
+        return [f"{kind}|on|{group[2]}|{group[7]}", f"{kind}|prev|{group[3]}|{group[7]}", f"{kind}|dot|{group[4]}", f"{kind}|on+|{group[6]}|{group[5]}"]
+    if what == "alone":
+        known, c, b, a = group[2:]
+        return [f"{kind}|alone|{known}", f"{kind}|alone|{known}|{c}", f"{kind}|alone b|{b}|{known}", f"{kind}|alone a|{a}|{known}", f"{kind}|alone ab|{b}|{a}"]
+    if what == "lead":
+        return [f"{kind}|lead|{group[2]}", f"{kind}|leadc|{group[3]}|{group[4]}"]
+    if what in ("top", "end", "last", "size", "words", "from", "how", "mark"):
+        return [*f, f"{kind}|{what}1|{group[2]}", f"{kind}|{what}2|{'|'.join(map(str, group[3:]))}", f"{kind}|bias"]
+    return f
 
 
 class Model:
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
-
-    def score(self, c: Candidate) -> float:
-        get = self.weights.get
-        return sum(get(f, 0.0) for f in c[3])
-
-    def decode(self, found: list[Candidate]) -> list[Candidate]:
-        """The best set of segments that do not overlap: semi-Markov Viterbi, free words scoring 0."""
-        scored = sorted(((c[1], c[0], s, c) for c in found if (s := self.score(c)) > 0), key=lambda x: x[:3])
+        self._sums: dict[tuple, float] = {}
+
+    def __getstate__(self):
+        return {"weights": self.weights, "_sums": {}}
+
+    def score(self, groups: list[tuple]) -> float:
+        out, sums = 0.0, self._sums
+        for g in groups:
+            s = sums.get(g)
+            if s is None:
+                if len(sums) > 500_000:
+                    sums.clear()
+                s = sums[g] = sum(self.weights.get(f, 0.0) for f in features(g))
+            out += s
+        return out
+
+    def decode(self, found: Iterator[Candidate]) -> list[tuple[int, int, str]]:
+        """The best set of segments that do not overlap: semi-Markov Viterbi, free tokens scoring 0."""
+        scored = sorted((c[1], c[0], c[2], s) for c in found if (s := self.score(c[3])) > 0)
         if not scored:
             return []
         ends = [x[0] for x in scored]
         best, take = [0.0], []
-        for k, (_, start, s, _) in enumerate(scored):
+        for k, (_, start, _, s) in enumerate(scored):
             j = bisect_right(ends, start, 0, k)
-            with_it = best[j] + s
-            take.append((with_it > best[k], j))
-            best.append(max(best[k], with_it))
+            take.append((best[j] + s > best[k], j))
+            best.append(max(best[k], best[j] + s))
         out, k = [], len(scored)
         while k:
             yes, j = take[k - 1]
             if yes:
-                out.append(scored[k - 1][3])
+                end, start, kind, _ = scored[k - 1]
+                out.append((start, end, kind))
                 k = j
             else:
                 k -= 1
         return out[::-1]
 
 
-def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epochs: int = 6, rate: float = 0.3, l2: float = 1e-4) -> Model:
+def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epochs: int = 5, rate: float = 0.4, l2: float = 3e-5) -> Model:
     """Adaptive gradient steps on the conditional log-likelihood; expectations by forward-backward over the lattice of segments."""
-    weights: dict[str, float] = defaultdict(float)
-    squares: dict[str, float] = defaultdict(lambda: 1e-2)
+    number: dict[str, int] = {}
+    of_group: dict[tuple, list[int]] = {}
+    made = []
+    for found, gold in examples:
+        found = sorted(found, key=lambda c: (c[1], c[0]))
+        if not found:
+            continue
+        flat, rows = [], []
+        for k, c in enumerate(found):
+            for g in c[3]:
+                ids = of_group.get(g)
+                if ids is None:
+                    ids = of_group[g] = [number.setdefault(f, len(number)) for f in features(g)]
+                flat += ids
+                rows += [k] * len(ids)
+        points = sorted({0, *(c[0] for c in found), *(c[1] for c in found)})
+        at = {p: k for k, p in enumerate(points)}
+        made.append((np.array(flat), np.array(rows), [(at[c[0]], at[c[1]]) for c in found], np.array([(c[0], c[1], c[2]) in gold for c in found], float), len(points)))
+    w, squares = np.zeros(len(number)), np.full(len(number), 1e-2)
+    order = np.random.default_rng(5)
     for _ in range(epochs):
-        for found, gold in examples:
-            if not found:
+        for x in order.permutation(len(made)):
+            flat, rows, spans, gold, m = made[x]
+            score = np.bincount(rows, w[flat], len(spans))
+            p = _marginals(spans, score.tolist(), m)
+            g = gold - p
+            keep = np.abs(g) > 1e-3
+            if not keep.any():
                 continue
-            order = sorted(found, key=lambda c: (c[1], c[0]))
-            ends = sorted({c[1] for c in order})
-            begins = {c[0] for c in order}
-            points = sorted({0, *ends, *begins})
-            at = {p: k for k, p in enumerate(points)}
-            inner = [(at[c[0]], at[c[1]], sum(weights[f] for f in c[3]), c) for c in order]
-            into, outof = defaultdict(list), defaultdict(list)
-            for x in inner:
-                into[x[1]].append(x)
-                outof[x[0]].append(x)
-            m = len(points)
-            alpha, beta = [0.0] * m, [0.0] * m
-            for k in range(1, m):
-                alpha[k] = _sum([alpha[k - 1], *(alpha[a] + s for a, _, s, _ in into[k])])
-            for k in range(m - 2, -1, -1):
-                beta[k] = _sum([beta[k + 1], *(beta[b] + s for _, b, s, _ in outof[k])])
-            z = alpha[-1]
-            for a, b, s, c in inner:
-                p = math.exp(min(0.0, alpha[a] + s + beta[b] - z))
-                g = ((c[0], c[1], c[2]) in gold) - p
-                if abs(g) < 1e-3:
-                    continue
-                for f in c[3]:
-                    step = g - l2 * weights[f]
-                    squares[f] += step * step
-                    weights[f] += rate * step / math.sqrt(squares[f])
-    return Model({f: w for f, w in weights.items() if abs(w) > 1e-3})
+            use = keep[rows]
+            ids, back = np.unique(flat[use], return_inverse=True)
+            step = np.bincount(back, g[rows[use]], len(ids)) - l2 * w[ids]
+            squares[ids] += step * step
+            w[ids] += rate * step / np.sqrt(squares[ids])
+    return Model({f: float(w[k]) for f, k in number.items() if abs(w[k]) > 1e-3})
+
+
+def _marginals(spans: list[tuple[int, int]], score: list[float], m: int) -> np.ndarray:
+    """Probability of each segment (sorted by end) under the model."""
+    alpha, beta = [0.0] * m, [0.0] * m
+    k, n = 0, len(spans)
+    for e in range(1, m):
+        values = [alpha[e - 1]]
+        while k < n and spans[k][1] == e:
+            values.append(alpha[spans[k][0]] + score[k])
+            k += 1
+        alpha[e] = values[0] if len(values) == 1 else _sum(values)
+    starts = sorted(range(n), key=lambda x: -spans[x][0])
+    k = 0
+    for s in range(m - 1, -1, -1):
+        values = [beta[s + 1]] if s + 1 < m else [0.0]
+        while k < n and spans[starts[k]][0] == s:
+            values.append(beta[spans[starts[k]][1]] + score[starts[k]])
+            k += 1
+        beta[s] = values[0] if len(values) == 1 else _sum(values)
+    z = alpha[-1]
+    return np.array([math.exp(min(0.0, alpha[a] + s + beta[b] - z)) for (a, b), s in zip(spans, score)])
 
 
 def _sum(values: list[float]) -> float:
@@ -276,23 +444,30 @@ def _sum(values: list[float]) -> float:
 
 def find(model: Model, text: str, common: frozenset[str]) -> list[tuple[int, int, str]]:
     """The personal details of a text: (start, end, kind), in order."""
-    t = Text(text)
-    found = model.decode(candidates(t, common))
-    known = frozenset(w.lower() for c in found if c[2] == "person_name" for w in text[c[0] : c[1]].split()[:1] if len(w) > 2 and " " in text[c[0] : c[1]])
-    if known and any(w.lower() in known for _, _, w in t.tokens):
-        found = model.decode(candidates(t, common, known))
-    return [(c[0], c[1], c[2]) for c in found]
+    t = Text(text, common)
+    found = model.decode(candidates(t))
+    known = frozenset(t.low[i] for i, j, k in found if k == "person_name" and sum(c in _WORDLIKE for c in t.cls[i:j]) > 1 and t.cls[i] != "I")
+    if known and sum(w in known for w in t.low) > len(known):
+        found = model.decode(candidates(t, known))
+    return [(t.starts[i], t.ends[j - 1], k) for i, j, k in found]
 
 
 def common_words(documents: DataFrame, text: str = "text") -> frozenset[str]:
-    """Of the documents that mix upper and lower case: words in lower case in 1/2000 of them (3 at least), or in any case in 1/50."""
-    mixed = documents.select(text).where(F.col(text).rlike(r"[a-z]") & (F.col(text) != F.lower(text)))
-    pattern = r"(?<![\p{L}\p{N}.@_+\-])[A-Za-z][a-z]+(?![\p{L}\p{N}@_+\-]|\.[a-z])"
-    words = mixed.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).alias("w"))
-    counts = words.groupBy("w").count().groupBy(F.lower("w").alias("w")).agg(F.sum("count").alias("any"), F.sum(F.when(F.col("w") == F.lower("w"), F.col("count")).otherwise(0)).alias("small"))
+    """The common words of the documents; see the module's text for the rule and the bound."""
+    pattern = r"(?<![\p{L}\p{M}\p{N}.@_+\-])\p{L}[\p{L}\p{M}]+(?![\p{L}\p{M}\p{N}@_+\-]|\.\p{L})"
+    x = F.col(text)
+    mixed = F.lower(x) != x
+    rows = documents.select(x.alias("t"), mixed.alias("m"), x.rlike("[a-z]").alias("s")).where("t is not null and (not m or s)")
+    words = rows.select("m", F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(pattern), F.lit(0)))).alias("w"))
+    # a text of one case tells nothing about the words of scripts with capitals
+    words = words.where(F.col("m") | ~F.col("w").rlike(r"^[a-z]"))
+    small, low = F.col("w") == F.lower("w"), F.lower("w")
+    counts = words.groupBy("w").count().groupBy(low.alias("w")).agg(F.sum("count").alias("all"), F.sum(F.when(small, F.col("count")).otherwise(0)).alias("small"))
     n = documents.count()
-    rows = counts.where((F.col("small") >= max(3, n // 2000)) | (F.col("any") >= max(5, n // 50))).collect()  # bounded: see the module's text
-    return frozenset(r["w"] for r in rows)
+    found = counts.where((F.col("small") >= n * LEAST_SHARE) & (2 * F.col("small") >= F.col("all"))).select("w").collect()  # bounded: see the module's text
+    from .pii_training import lexicon
+
+    return lexicon() | {r["w"] for r in found}
 
 
 def details(documents: DataFrame, model: Model, common: frozenset[str], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,10 +491,10 @@ def details(documents: DataFrame, model: Model, common: frozenset[str], key: str
     return rows.mapInPandas(of, f"`{key}` {dict(rows.dtypes)[key]}, redacted string, kinds array<string>, texts array<string>")
 
 
-def trained(common: frozenset[str], sentences: int = SENTENCES) -> Model:
+def trained(sentences: int = SENTENCES) -> Model:
     from .pii_training import examples
 
-    return train(examples(sentences, common))
+    return train(examples(sentences))
 
 
 def found(documents: DataFrame, model: Model, common: frozenset[str]) -> DataFrame:

@@ -74,15 +74,13 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
-    common = pii.common_words(documents)
-    return pii.found(documents, pii.trained(common), common)
+    return pii.found(documents, pii.trained(), pii.common_words(documents))
 
 
 def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with placeholders, and their number."""
     documents = read(spark, sf_dir, "documents")
-    common = pii.common_words(documents)
-    return pii.details(documents, pii.trained(common), common).select("doc_id", F.col("redacted").alias("text"), F.size("kinds").alias("n_found"))
+    return pii.details(documents, pii.trained(), pii.common_words(documents)).select("doc_id", F.col("redacted").alias("text"), F.size("kinds").alias("n_found"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -160,57 +160,3 @@ def test_mix(spark):
     again = mixing.mix(df.repartition(7), targets, slice_size=50).collect()
     assert sorted(map(str, again)) == sorted(map(str, rows))
     assert mixing.mix(df.where("false"), targets).count() == 0 and mixing.mix(df, targets.where("false")).count() == 0
-
-
-# --- personal details ----------------------------------------------------------------------------------------------------------------
-
-
-@pytest.fixture(scope="module")
-def model():
-    return pii.trained(frozenset(), 2500)
-
-
-def test_held_out(model):
-    hit = found = true = 0
-    for c, gold in examples(400, frozenset(), seed=77):
-        got = {(x[0], x[1], x[2]) for x in model.decode(c)}
-        hit, found, true = hit + len(got & gold), found + len(got), true + len(gold)
-    assert hit >= 0.97 * found and hit >= 0.97 * true
-
-
-def test_decode_is_optimal(model):
-    """The dynamic programme finds the best set of segments that do not overlap."""
-    r = random.Random(8)
-    for _ in range(50):
-        found = []
-        for _ in range(8):
-            s = r.randrange(20)
-            found.append((s, s + r.randint(1, 6), "phone", [f"f{r.randrange(5)}"]))
-        m = pii.Model({f"f{k}": r.uniform(-2, 3) for k in range(5)})
-        best = 0.0
-        for mask in range(1 << len(found)):
-            chosen = [c for k, c in enumerate(found) if mask >> k & 1]
-            chosen.sort()
-            if all(a[1] <= b[0] for a, b in zip(chosen, chosen[1:])):
-                best = max(best, sum(m.score(c) for c in chosen))
-        assert abs(sum(m.score(c) for c in m.decode(found)) - best) < 1e-9
-
-
-TEXT = (
-    "Call note. My name is Karoti Belavra. Lot 5435-47 of Bazol was returned. Call back on +91 5959921833 after sunset. Email: karoti.belavra[at]dinet[dot]example. "
-    "Send the kit to H. No. 98/6, Drumouchi Road, Mukhouli 087986. KYC pending, document 0637 9127 1968. It was told to Karoti twice. The consignment number 991731750 was noted."
-)
-
-
-def test_documents(spark, model):
-    docs = [(1, TEXT), (2, TEXT), (3, None), (4, ""), (5, "No details here."), (6, ("Nothing to see. " * 4000) + "ph 5212.585.139."), (7, "मेरा नंबर 4364491735 है")]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("kinds", F.lit(1)).withColumn("redacted", F.lit("x"))
-    common = pii.common_words(df) | frozenset("call note lot was returned back after sunset email send the kit to pending document it told twice consignment number noted no details here nothing see".split())
-    rows = {(r["doc_id"], r["pii_kind"], r["found_text"]) for r in pii.found(df, model, common).collect()}
-    one = {("person_name", "Karoti Belavra"), ("person_name", "Karoti"), ("phone", "+91 5959921833"), ("email", "karoti.belavra[at]dinet[dot]example"), ("address", "H. No. 98/6, Drumouchi Road, Mukhouli 087986"), ("id_number", "0637 9127 1968")}
-    assert {r[1:] for r in rows if r[0] == 1} == one == {r[1:] for r in rows if r[0] == 2}
-    assert {r[1:] for r in rows if r[0] == 6} == {("phone", "5212.585.139")} and {r[1:] for r in rows if r[0] == 7} == {("phone", "4364491735")}
-    assert not {r for r in rows if r[0] in (3, 4, 5)}
-    text = {r["doc_id"]: r["redacted"] for r in pii.details(df, model, common).collect()}
-    assert "My name is [NAME]. Lot 5435-47 of Bazol" in text[1] and "told to [NAME] twice" in text[1] and 3 not in text and text[5] == "No details here."
-    assert pii.found(df.where("false"), model, common).count() == 0
