@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from askmill.llm import format_duplicates, near_duplicates
@@ -78,13 +79,30 @@ def test_against_brute_force(spark, rows):
     assert sets == df.count()
 
 
-def test_frequent_words_as_pairs(spark, rows, monkeypatch):
-    """With hardly any rare word the keys are pairs of words; the result is the same."""
+@pytest.mark.parametrize("rare, block", [(2, 32_768), (1, 4), (20, 3)])
+def test_any_key_rule_gives_the_same(spark, rows, rare, block):
+    """With hardly any rare word the keys are two and three words; with small blocks long lists are cut. The result is the same."""
     data = made(90, 5)
     _, near = brute(data)
-    monkeypatch.setattr(near_duplicates, "RARE", 2)
     df = spark.createDataFrame(data, SPEC).where(F.col("text").rlike(r"[\p{L}\p{N}]"))
-    assert set(rows(near_duplicates.pairs(df))) == near
+    assert set(rows(near_duplicates.pairs(df, rare=rare, block=block))) == near
+    lists = near_duplicates.lists(near_duplicates.index(df, rare=rare, block=block)).first()
+    assert lists["texts"] <= lists["entries"]
+
+
+def test_long_lists_are_cut(spark):
+    """No list holds many more than two blocks of entries."""
+    data = [("raw_log", str(k), f"alpha beta gamma delta {' '.join(f'n{k}x{j}' for j in range(2))}") for k in range(400)]
+    df = spark.createDataFrame(data, SPEC)
+    longest = [near_duplicates._posted(near_duplicates.index(df, rare=2, block=b), b).groupBy("key").count().agg(F.max("count")).first()[0] or 0 for b in (10_000, 20)]
+    assert longest[1] <= 4 * 20 and (longest[0] >= 400 or longest[0] <= 2)
+
+
+def test_word_hash_is_that_of_the_tables(spark):
+    import xxhash
+
+    got = spark.createDataFrame([("wheat",), ("गेहूं",), ("a" * 100,)], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(near_duplicates.BUCKETS)).alias("h")).collect()
+    assert all(r["h"] == xxhash.xxh64_intdigest(r["w"], 42) % near_duplicates.BUCKETS for r in got)
 
 
 def test_hot_text_and_repeats(spark, rows):
