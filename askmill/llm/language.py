@@ -6,7 +6,8 @@ the words' class evidence with a cost for each change of language, lower where a
 names do not end a segment.
 
 * The model is fitted on the driver on all of ``lang_samples`` and on ``SAMPLE`` labelled rows of the log (smallest hashes of the row id; a
-  bounded sample by parameter). Labels that contradict a first fit are left out of the second one.
+  bounded sample by parameter). Labels that contradict a first fit are left out of the second one. A fifth of the rows is held out for the temperature;
+  of these the ones count whose label is confirmed by a model fitted on others of them.
 * Every row of the log is labelled. The model (a few thousand weights) goes to the tasks with the function; a task keeps the evidence of
   each word it has met, and the path search is vectorised over the texts of a batch. Texts are shuffled only where there are
   fewer files than cores.
@@ -53,7 +54,7 @@ def tokens(text: str) -> tuple[list[str], list[bool]]:
 
 
 def grams(word: str) -> list[str]:
-    w = f"<{word[:40]}>"
+    w = f"<{word}>"
     return [w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)]
 
 
@@ -113,13 +114,20 @@ def fit(counts: dict[str, Counter], epochs: int = 12, alpha: float = 1.0, beta:
     return model
 
 
-def _whole(model: Model, text: str, cache: dict[str, np.ndarray]) -> np.ndarray:
-    out = np.zeros(len(LANGS))
-    for w in tokens(text)[0]:
-        if w not in cache:
-            cache[w] = model.evidence(w)
-        out += cache[w]
-    return out
+def _counted(rows: Iterable[tuple[str, str]], samples: Iterable[tuple[str, str]]) -> dict[str, Counter]:
+    """Words with their counts by language; a trusted sample counts as 20 rows."""
+    counts: dict[str, Counter] = defaultdict(Counter)
+    for weight, part in ((20, samples), (1, rows)):
+        for k, t in part:
+            for w in tokens(t)[0]:
+                counts[w][k] += weight
+    return counts
+
+
+def _agreeing(model: Model, rows: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The rows that a model takes for texts in the language of their label."""
+    found = segment(model, [t for _, t in rows], {})
+    return [row for row, spans in zip(rows, found) if len(spans) == 1 and spans[0][0] == row[0]]
 
 
 def train(labelled: Iterable[tuple[str, str]], samples: Iterable[tuple[str, str]]) -> Model:
@@ -128,34 +136,51 @@ def train(labelled: Iterable[tuple[str, str]], samples: Iterable[tuple[str, str]
     samples = [(k, t) for k, t in samples if k in LANGS and t]
     held = labelled[len(labelled) * 4 // 5 :]
     used = labelled[: len(labelled) * 4 // 5] if held else labelled
+    model = fit(_counted(_agreeing(fit(_counted(used, samples), epochs=4), used), samples))
+    model.temperature = calibrated(model, held, samples)
+    return model
 
-    def counted(rows: list[tuple[str, str]]) -> dict[str, Counter]:
-        counts: dict[str, Counter] = defaultdict(Counter)
-        for trusted, part in ((20, samples), (1, rows)):
-            for k, t in part:
-                for w in tokens(t)[0]:
-                    counts[w][k] += trusted
-        return counts
 
-    def agreeing(model: Model, rows: list[tuple[str, str]]) -> list[tuple[str, str]]:
-        found = segment(model, [t for _, t in rows], {})
-        return [row for row, spans in zip(rows, found) if len(spans) == 1 and spans[0][0] == row[0]]
+def calibrated(model: Model, held: list[tuple[str, str]], samples: list[tuple[str, str]]) -> float:
+    """The temperature under which the held-out rows are most likely.
 
-    model = fit(counted(agreeing(fit(counted(used), epochs=4), used)))
+    Labels may be wrong, so only rows count whose label is confirmed by a second model that was fitted on the other half of the held-out rows;
+    what the model itself makes of a row plays no part. Of each row the whole text and stretches of one to four words count, as
+    segments may be short.
+    """
+    halves = held[::2], held[1::2]
+    trusted = [row for mine, other in (halves, halves[::-1]) for row in _agreeing(fit(_counted(other, samples), epochs=4), mine)]
     cache: dict[str, np.ndarray] = {}
-    rows = [(LANGS.index(k), _whole(model, t, cache)) for k, t in agreeing(model, held[:2000])]
-    if rows:
-        best = (math.inf, 1.0)
-        for temperature in np.geomspace(0.25, 32, 29):
-            loss = 0.0
-            for k, s in rows:
-                v = s / temperature
-                loss -= v[k] - v.max() - math.log(np.exp(v - v.max()).sum())
-            # rows that agree can be too sure: one error in a thousand is taken for granted
-            loss += sum(0.001 * (s.max() - s.mean()) / temperature for _, s in rows)
-            best = min(best, (loss, float(temperature)))
-        model.temperature = best[1]
-    return model
+    rng = np.random.default_rng(3)
+    scores, truth = [], []
+    for k, t in trusted:
+        words = tokens(t)[0]
+        for size in (len(words), int(rng.integers(1, 3)), int(rng.integers(1, 5))):
+            at = int(rng.integers(0, max(1, len(words) - size + 1)))
+            part = words[at : at + size]
+            for w in part:
+                if w not in cache:
+                    cache[w] = model.evidence(w)
+            if part:
+                scores.append(np.sum([cache[w] for w in part], axis=0))
+                truth.append(LANGS.index(k))
+    if not scores:
+        return 1.0
+    s, y = np.array(scores), np.array(truth)
+    best = (math.inf, 1.0)
+    for temperature in np.geomspace(0.25, 32, 57):
+        v = s / temperature
+        v -= v.max(1, keepdims=True)
+        loss = float(np.mean(np.log(np.exp(v).sum(1)) - v[np.arange(len(y)), y]))
+        best = min(best, (loss, float(temperature)))
+    return best[1]
+
+
+def calibration_error(confidence: np.ndarray, right: np.ndarray, bins: int = 10) -> float:
+    """Expected calibration error: the mean distance of confidence and accuracy over bins of confidence."""
+    at = np.minimum((np.asarray(confidence) * bins).astype(int), bins - 1)
+    n = np.bincount(at, minlength=bins)
+    return float(np.abs(np.bincount(at, confidence, bins) - np.bincount(at, np.asarray(right, float), bins)).sum() / max(1, n.sum()))
 
 
 def segment(model: Model, texts: list[str], cache: dict[str, np.ndarray]) -> list[list[tuple[str, float, int, int]]]:

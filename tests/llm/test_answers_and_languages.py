@@ -149,6 +149,35 @@ def test_confidence_and_held_out(model):
         assert lang == k and 0.25 < confidence <= 1 and (first, last) == (0, len(t.split()))
 
 
+def test_confidence_is_calibrated():
+    """Expected calibration error on fresh texts of one to six words, from labels of which a tenth is wrong."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(4)
+    pools = {k: sorted({w for t in ts for w in L.tokens(t)[0]}) for k, ts in (("en", EN), ("hi", HI), ("mr", MR), ("ta", TA))}
+    pools["en"] += pools["hi"][:3]  # borrowed words
+    pools["mr"] += pools["hi"][3:8]
+
+    def texts(n, longest):
+        return [(k, " ".join(r.choice(pools[k]) for _ in range(r.randint(1, longest)))) for k in r.choices(list(pools), k=n)]
+
+    noisy = [(k if r.random() > 0.1 else r.choice(list(pools)), t) for k, t in texts(3000, 9)]
+    m = L.train(noisy, [(k, t) for k, ts in (("en", EN), ("hi", HI), ("mr", MR), ("ta", TA)) for t in ts])
+    confidence, right = [], []
+    for k, t in texts(2000, 6):
+        for lang, c, _, _ in L.segment(m, [t], {})[0]:
+            confidence.append(c)
+            right.append(lang == k)
+    assert L.calibration_error(np.array(confidence), np.array(right)) <= 0.05 and 0.25 < m.temperature
+    assert abs(L.calibration_error(np.array([0.9] * 10), np.array([1] * 5 + [0] * 5)) - 0.4) < 1e-9
+
+
+def test_a_long_word_is_read_whole(model):
+    assert len(L.grams("a" * 1000)) > 4000 and langs(model, "x" * 50_000 + " " + EN[0])[-1] == "en"
+
+
 def test_log(spark, rows, model):
     data = [(1, EN[0], "en"), (2, EN[0], None), (3, EN[0], "und"), (4, EN[0], "hi"), (5, f"{EN[0]}. {TA[1]}", "en"), (6, None, "en"), (7, "  ", ""), (8, "?!", "en"), (9, f"{EN[0]} " * 3000, "te"), (9, f"{EN[0]} " * 3000, "te")]
     df = spark.createDataFrame(data, "raw_row_id long, querytext string, lang_label string").withColumn("lang", __import__("pyspark").sql.functions.lit("x"))
