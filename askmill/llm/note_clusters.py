@@ -1,44 +1,54 @@
 """Problem 5: clusters of notes on the same matter, with their true sizes and most typical notes.
 
-Method: parallel pivot correlation clustering.
-
-1. *Core of a note.* Its content words: those that are in ``LEAST_SHARE`` of the rows or more and whose distribution over the crops
-   differs from that of all rows (names of places, seed and products are too rare; the words of the phrasing go with any crop). Counts
-   cover all rows. Notes with the same core are one node, so nodes are few however many rows there are.
-2. *Pivots.* In a fixed hash order the first ``BATCH`` nodes that are still active are taken; those that are similar to no earlier one are
-   local minima and become pivots. Every active node joins its first similar pivot. Rounds go on until no node is active; the outcome is
-   that of the serial pivot algorithm on the same order.
-3. *Higher rounds.* The clusters, as weighted sums of their nodes, are nodes again, until their number does not fall any more: names
-   of one trouble that never stand in one note meet through the signs they share.
-4. *Reassignment.* Every node goes to its closest cluster, and the clusters' sums (and with them the medoids) are computed anew, twice.
-
-Only the content words (bounded by mean words of a note / ``LEAST_SHARE``), one batch of pivots and the clusters' sums are on the driver.
+Method: parallel pivot correlation clustering, all of it as tables.
+
+1. *Core of a note.* Its content words: those whose distribution over the crops differs from that of all rows by more than chance explains,
+   and that are in ``LEAST_SHARE`` of the rows or more (names of places, seed and products are too rare to differ surely; the words of the
+   phrasing go with any crop). Counts cover all rows. Notes with the same core are one node, so nodes are few however many rows there are.
+2. *Graph.* Nodes with a cosine of ``NEAR`` or more are neighbours. Pairs come from an inverted index on the words: a node is listed under its
+   rarest words until the rest of its vector is too short for a neighbour, lists longer than ``BLOCK`` are cut into pairs of blocks, and
+   a task multiplies the vectors of one list. Only neighbours leave a task.
+3. *Pivots.* In rounds, every active node that comes before all its active neighbours in hash order is a local minimum and becomes a pivot;
+   its active neighbours join their first pivot. Rounds go on until no node is active; as in the serial algorithm the pivots are the first
+   maximal independent set of that order.
+4. *Higher levels.* The clusters, as weighted sums of their nodes, are nodes again (heaviest first instead of hash order, neighbours from
+   ``NEAR_AGAIN`` on, each joins its closest pivot), until their number does not fall any more: names of one trouble that never stand
+   in one note meet through the signs they share.
+5. *Reassignment.* Every node goes to its closest cluster; the clusters' sums, and with them the medoid (the node nearest to the sum), are
+   computed anew, twice. Closeness is to the sum, not to the medoid, which as a single core holds only some of a matter's words.
+
+Sizes that reach the driver: the content words (bounded by mean words of a note / ``LEAST_SHARE``), the crops (250) and one number a round.
+Nodes, neighbours, clusters and their words stay tables; Spark broadcasts one only below its own size limit, and the rows of a core with
+a thousandth of all rows are spread over several keys.
+
 Nulls, blanks and notes without content words (garbled ones) are in no cluster. Repeated rows count each; an empty table gives no rows.
+Columns besides those named are not looked at.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import cut, staged
 
 LEAST_SHARE = 1 / 5000
 LEAST_SPREAD = 0.6
-BATCH = 512
-#: Similarity from which a node joins a pivot (first round, higher rounds), and a note its closest cluster;
+BLOCK = 2048
+#: Similarity from which a node joins a pivot (first level, higher levels), and a note its closest cluster;
 #: and from which an unmatched cluster goes with a matched one.
 NEAR, NEAR_AGAIN, CLOSE = 0.45, 0.38, 0.35
 AKIN = 0.25
 CROP_WEIGHT = 0.6
 #: Texts of one note: near duplicates make that many distinct texts count as one when a word's spread over the crops is judged.
 ALIKE = 2.5
+#: Over how many keys the rows of a hot core are spread, and the share of all rows that makes it hot.
+SALTS, HOT = 64, 1 / 1000
 _find = re.compile(r"[^\W_]+").findall
 
 
@@ -46,279 +56,278 @@ class Words:
     """The content words with their weights; some of them are crops."""
 
     def __init__(self, weights: dict[str, float], crops: frozenset[str]):
-        self.names = sorted(weights)
-        self.at = {w: i for i, w in enumerate(self.names)}
+        self.weights = {w: v * (CROP_WEIGHT if w in crops else 1.0) for w, v in weights.items()}
         self.crops = crops
-        self.weights = np.array([weights[w] * (CROP_WEIGHT if w in crops else 1.0) for w in self.names])
 
     def core(self, text: str | None) -> str:
         """The content words of a text, sorted; '' if there is none besides crops."""
-        words = sorted({w for w in _find((text or "").lower()) if w in self.at})
+        words = sorted({w for w in _find((text or "").lower()) if w in self.weights})
         return " ".join(words) if any(w not in self.crops for w in words) else ""
 
-    def matrix(self, cores: list[str]) -> np.ndarray:
-        """One row of unit length for each core."""
-        out = np.zeros((len(cores), len(self.names)))
-        for k, c in enumerate(cores):
-            at = [self.at[w] for w in c.split()]
-            out[k, at] = self.weights[at]
-        return _unit(out)
-
-
-def _unit(m: np.ndarray) -> np.ndarray:
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    def vector(self, core: str) -> tuple[list[str], list[float]]:
+        """Words and weights of a core, of unit length."""
+        words = core.split()
+        x = np.array([self.weights[w] for w in words])
+        return words, (x / max(float(np.linalg.norm(x)), 1e-12)).tolist()
 
 
-def counted(notes: DataFrame, text: str = "query_text") -> DataFrame:
-    """(text, n): the distinct notes with their numbers of rows, written to the shared folder as they are read several times."""
-    return staged(notes.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("n")))
+def counted(notes: DataFrame, text: str = "query_text", key: str = "raw_row_id") -> DataFrame:
+    """(text, n, first_key): the distinct notes with their numbers of rows, written to the shared folder as they are read several times."""
+    least = [F.min(key).alias("first_key")] if key in notes.columns else []
+    return staged(notes.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("n"), *least))
 
 
 def content_words(notes: DataFrame, texts: DataFrame, crop: str = "crop") -> Words:
     """Count words over all notes, and with the crop that the note names; keep those of content."""
     clean = F.regexp_replace(F.lower(F.coalesce(crop, F.lit(""))), r"[^\p{L}]+", " ")
-    total = notes.count()
-    names = notes.groupBy(crop).count().select(F.explode(F.array_distinct(F.split(F.trim(clean), " "))).alias("w"), "count").where("length(w) > 3").groupBy("w").agg(F.sum("count").alias("n")).where(F.col("n") >= max(3, total * 0.004)).collect()
-    words = texts.select(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("ws"), "n")
-    crops = sorted({r["w"] for r in names} - {"others", "other", "crop", "none", "null"})  # at most 250 by the share asked for
-    named = F.array_intersect(F.array(*[F.lit(c) for c in crops]), "ws") if crops else F.array().cast("array<string>")
-    pairs = words.select(F.explode("ws").alias("w"), F.coalesce(F.try_element_at(named, F.lit(1)), F.lit("")).alias("c"), "n").groupBy("w", "c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
-    by_word = pairs.groupBy("w").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.collect_list(F.struct("c", "n", "d")).alias("by")).where(F.col("n") >= max(4, total * LEAST_SHARE))
-    found = by_word.collect()  # bounded: see the module's text
-    base = {r["c"]: r["n"] for r in words.select(F.coalesce(F.try_element_at(named, F.lit(1)), F.lit("")).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n")).collect()}
-    all_ = sum(base.values()) or 1
-    weights = {}
-    for r in found:
-        spread = sum(b["n"] / r["n"] * math.log(b["n"] / r["n"] / (base[b["c"]] / all_)) for b in r["by"])
-        # a word seen in d distinct texts seems uneven by chance; the rows of one text count only where it names no crop (a request)
-        none = sum(b["n"] for b in r["by"] if not b["c"]) >= 0.8 * r["n"]
-        chance = (len(base) - 1) / (2 * (r["n"] if none else r["d"] / ALIKE))
-        if not r["w"].isdigit() and len(r["w"]) > 2 and spread - chance >= LEAST_SPREAD:
-            weights[r["w"]] = math.log(all_ / r["n"])
+    names = notes.groupBy(crop).count().select(F.explode(F.array_distinct(F.split(F.trim(clean), " "))).alias("w"), "count").where("length(w) > 3").groupBy("w").agg(F.sum("count").alias("n"))
+    sums = texts.agg(F.sum("n").alias("rows")).crossJoin(notes.agg(F.count(F.lit(1)).alias("total"))).first()  # one row each
+    total, all_ = sums["total"], sums["rows"] or 1
+    crops = sorted({r["w"] for r in names.where(F.col("n") >= max(3, total * 0.004)).collect()} - {"others", "other", "crop", "none", "null"})  # at most 250 by the share asked for
+    low = F.lower("text")
+    first = F.regexp_extract(low, rf"(?<![\p{{L}}\p{{N}}])({'|'.join(crops)})(?![\p{{L}}\p{{N}}])", 1) if crops else F.lit("")
+    named = texts.select(low.alias("t"), "n", first.alias("c"))
+    base = named.groupBy("c").agg(F.sum("n").alias("b"))  # 251 rows at most
+    words = named.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("w"), "c", "n")
+    pairs = words.groupBy("w", "c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).join(F.broadcast(base), "c")
+    each = pairs.groupBy("w").agg(F.sum("n").alias("total"), F.sum("d").alias("d"), F.sum(F.when(F.col("c") == "", F.col("n")).otherwise(0)).alias("bare"), F.sum(F.col("n") * F.log(F.col("n") / F.col("b"))).alias("x"))
+    # how much the word's shares of the crops tell beside those of all rows
+    spread = F.col("x") / F.col("total") - F.log("total") + F.lit(float(np.log(all_)))
+    # a word seen in d distinct texts seems uneven by chance; the rows of one text count only where it names no crop (a request)
+    seen = F.when(F.col("bare") >= 0.8 * F.col("total"), F.col("total")).otherwise(F.col("d") / ALIKE)
+    kept = each.where((F.col("total") >= max(4.0, total * LEAST_SHARE)) & (spread - F.lit(len(crops) / 2) / seen >= LEAST_SPREAD) & (F.length("w") > 2) & ~F.col("w").rlike(r"^\p{N}+$"))
+    weights = {r["w"]: float(r["x"]) for r in kept.select("w", F.log(F.lit(float(all_)) / F.col("total")).alias("x")).collect()}  # bounded: see the module's text
     return Words(weights, frozenset(c for c in crops if c in weights))
 
 
 def cores(texts: DataFrame, words: Words) -> DataFrame:
-    """(core, n): the distinct cores with their numbers of rows."""
+    """(core, n, id, ws, xs): the distinct cores with their numbers of rows, a hash of the core, and the unit vector as words and weights."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = pd.DataFrame({"core": [words.core(t) for t in pdf["text"]], "n": pdf["n"]})
             yield out[out["core"] != ""].groupby("core", as_index=False)["n"].sum()
 
-    return texts.mapInPandas(of, "core string, n long").groupBy("core").agg(F.sum("n").alias("n"))
+    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                both = [words.vector(c) for c in pdf["core"]]
+                yield pdf.assign(ws=[b[0] for b in both], xs=[b[1] for b in both])
+
+    nodes = texts.mapInPandas(of, "core string, n long").groupBy("core").agg(F.sum("n").alias("n")).withColumn("id", F.xxhash64("core"))
+    return nodes.mapInPandas(vectors, "core string, n long, id long, ws array<string>, xs array<double>")
+
+
+# --- graph and pivots ------------------------------------------------------------------------------------------------------------------
+
+
+def neighbours(items: DataFrame, near: float, block: int = BLOCK) -> DataFrame:
+    """(a, b, s), in both directions: the items (id, ws, xs; unit vectors) with a cosine of near or more."""
+    freq = items.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("f"))
+    flat = items.select("id", F.posexplode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("p", "e")).select("id", "e.w", "e.x").join(freq, "w")
+    by = Window.partitionBy("id").orderBy("f", "w").rowsBetween(Window.unboundedPreceding, -1)
+    # what is left of the vector from this word on must be able to give the similarity with a vector of unit length
+    listed = flat.withColumn("left", 1 - F.coalesce(F.sum(F.col("x") * F.col("x")).over(by), F.lit(0.0))).where(F.col("left") >= near * near - 1e-9).select("w", "f", "id")
+    b = F.ceil(F.col("f") / block)
+    own = F.pmod(F.xxhash64("id"), b)
+    lists = listed.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), b - 1))).select("w", "id", F.least(own, "o").alias("p"), F.greatest(own, "o").alias("q"))
+    lists = lists.join(items.select("id", "ws", "xs"), "id")
+
+    def of(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < 2:
+            return pd.DataFrame({"a": [], "b": [], "s": []}).astype({"a": "int64", "b": "int64", "s": "float64"})
+        at: dict[str, int] = {}
+        rows = np.repeat(np.arange(len(pdf)), [len(w) for w in pdf["ws"]])
+        cols = np.array([at.setdefault(w, len(at)) for ws in pdf["ws"] for w in ws])
+        ids = pdf["id"].to_numpy()
+        m = np.zeros((len(pdf), len(at)), np.float32)  # a block pair of items by its own words
+        m[rows, cols] = np.concatenate(pdf["xs"].to_numpy())
+        i, j, v = [], [], []
+        for k in range(0, len(m), 512):
+            s = m[k : k + 512] @ m.T
+            x, y = np.nonzero(s >= near - 1e-6)
+            i.append(x + k)
+            j.append(y)
+            v.append(s[x, y])
+        i, j, v = np.concatenate(i), np.concatenate(j), np.concatenate(v)
+        ok = ids[i] != ids[j]
+        return pd.DataFrame({"a": ids[i[ok]], "b": ids[j[ok]], "s": np.round(v[ok].astype(np.float64), 5)})
+
+    return lists.groupBy("w", "p", "q").applyInPandas(of, "a long, b long, s double").groupBy("a", "b").agg(F.max("s").alias("s"))
+
+
+def pivots(items: DataFrame, near: float, heaviest: bool = False) -> DataFrame:
+    """(id, pivot): the items (id, weight, ws, xs) with their pivots, in rounds of local minima.
+
+    The order is that of the hash ids or, with ``heaviest``, by falling weight; an item joins its first pivot, or its closest one.
+    """
+    order = F.struct((-F.round("weight", 6) if heaviest else F.lit(0.0)).alias("w"), F.col("id").alias("id"))
+    active = cut(items.select("id", order.alias("o")))
+    edges = staged(neighbours(items, near))
+    edges = staged(edges.join(active.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b"))
+    parts = []
+    while active.count():  # one number a round
+        lowest = edges.groupBy(F.col("a").alias("id")).agg(F.min("ob").alias("lo"))
+        new = cut(active.join(lowest, "id", "left").where("lo is null or o < lo").select("id"))
+        best = F.max_by("b", F.struct("s", (-F.col("b")).alias("t"))) if heaviest else F.min_by("b", "ob")
+        joined = edges.join(new.select(F.col("id").alias("b")), "b", "left_semi").groupBy(F.col("a").alias("id")).agg(best.alias("pivot"))
+        now = cut(joined.unionByName(new.select("id", F.col("id").alias("pivot"))))
+        parts.append(now)
+        active = cut(active.join(now, "id", "left_anti"))
+        gone = now.select("id")
+        edges = cut(edges.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti"))
+    out = items.select("id", F.col("id").alias("pivot")).where("false")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+def summed_up(members: DataFrame) -> DataFrame:
+    """(id, weight, ws, xs): the sums of the vectors of (k, weight, ws, xs), as unit vectors with their lengths as weights."""
+    flat = members.select("k", "weight", F.explode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("e"))
+    by = flat.groupBy("k", "e.w").agg(F.sum(F.col("weight") * F.col("e.x")).alias("v"))
+    rows = by.groupBy("k").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("weight"), F.sort_array(F.collect_list(F.struct("w", "v"))).alias("e"))
+    return rows.select(F.col("k").alias("id"), "weight", F.transform("e", lambda e: e["w"]).alias("ws"), F.transform("e", lambda e: e["v"] / F.col("weight")).alias("xs"))
 
 
-def _greedy(m: np.ndarray, near: float) -> list[int]:
-    """The rows, in order, that are similar to no earlier one kept."""
-    sims, kept = m @ m.T, []
-    for k in range(len(m)):
-        if not any(sims[k, j] >= near for j in kept):
-            kept.append(k)
-    return kept
+def similarities(items: DataFrame, centres: DataFrame) -> DataFrame:
+    """(id, k, s): the cosines of items and centres (id, ws, xs; unit vectors) that share a word."""
+    one = items.select("id", F.explode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("e")).select("id", "e.w", "e.x")
+    two = centres.select(F.col("id").alias("k"), F.explode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("e")).select("k", "e.w", F.col("e.x").alias("y"))
+    return one.join(two, "w").groupBy("id", "k").agg(F.round(F.sum(F.col("x") * F.col("y")), 9).alias("s"))
 
 
-def pivot_sums(nodes: DataFrame, words: Words, near: float = NEAR) -> np.ndarray:
-    """Pivot rounds over (core, n); the clusters' sums of their nodes' vectors by number of rows, one row each."""
-    active = nodes.withColumn("h", F.xxhash64("core"))
-    sums: list[np.ndarray] = []
+def _closest(sims: DataFrame) -> DataFrame:
+    """(id, k, s): the closest centre of each item, ties by the smaller k."""
+    return sims.groupBy("id").agg(F.max(F.struct("s", (-F.col("k")).alias("t"))).alias("m")).select("id", (-F.col("m.t")).alias("k"), F.col("m.s").alias("s"))
+
+
+def clusters(nodes: DataFrame) -> DataFrame:
+    """(id, weight, ws, xs, medoid): the final clusters as unit vectors, with their most typical core."""
+    items = nodes.select("id", F.col("n").cast("double").alias("weight"), "ws", "xs")
+    found = pivots(items, NEAR)
+    count = -1
     while True:
-        first = [r["core"] for r in active.orderBy("h", "core").limit(BATCH).collect()]
-        if not first:
-            break
-        m = words.matrix(first)
-        pivots = m[_greedy(m, near)]
-
-        def joined(batches: Iterator[pd.DataFrame], pivots: np.ndarray = pivots) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    ok = words.matrix(list(pdf["core"])) @ pivots.T >= near - 1e-9
-                    yield pdf.assign(pivot=np.where(ok.any(1), ok.argmax(1), -1).astype(np.int32))
-
-        now = cut(active.mapInPandas(joined, "core string, n long, h long, pivot int"))
-        sums.extend(totals(now.where("pivot >= 0"), words, "pivot", len(pivots)))
-        active = now.where("pivot < 0").drop("pivot")
-        if len(first) < BATCH:  # these were all
+        sums = cut(summed_up(items.join(found, "id").select(F.col("pivot").alias("k"), "weight", "ws", "xs")))
+        now = sums.count()
+        if now in (0, 1, count):
             break
-    return np.array(sums) if sums else np.zeros((0, len(words.names)))
+        items, count = sums, now
+        found = pivots(items, NEAR_AGAIN, heaviest=True)
+    for _ in range(2):
+        close = _closest(similarities(nodes, sums)).where(F.col("s") >= CLOSE)
+        home = cut(nodes.join(close, "id").select("id", "k", F.col("n").cast("double").alias("weight"), "ws", "xs", "core"))
+        sums = cut(summed_up(home))
+        near = home.join(sums.select(F.col("id").alias("k"), F.col("ws").alias("w2"), F.col("xs").alias("x2")), "k")
+        dot = F.aggregate(F.zip_with("ws", "xs", lambda w, x: x * F.coalesce(F.try_element_at(F.map_from_arrays("w2", "x2"), w), F.lit(0.0))), F.lit(0.0), lambda a, b: a + b)
+        medoid = near.groupBy("k").agg(F.max_by("core", F.struct(F.round(dot, 9), "weight", "core")).alias("medoid"))
+        sums = cut(sums.join(medoid.withColumnRenamed("k", "id"), "id"))
+    return sums
+
 
+# --- representatives and rows ----------------------------------------------------------------------------------------------------------
 
-def totals(assigned: DataFrame, words: Words, column: str, size: int) -> np.ndarray:
-    """The sums of the vectors of the nodes of each cluster: one partial sum by word from each task, added up in Spark."""
-    pairs = assigned.select(F.col(column).alias("k"), "n", "core")
+
+def _reps(representatives: DataFrame, words: Words) -> DataFrame:
+    """(id, rep, ws, xs): the cores of the representatives; id is that of the cluster on file and its text."""
+    rows = representatives.select(F.col("cluster_id").cast("long").alias("rep"), "representative").where("rep is not null and representative is not null").distinct()
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((size, len(words.names)))
         for pdf in batches:
-            if len(pdf):
-                np.add.at(total, pdf["k"].to_numpy(), words.matrix(list(pdf["core"])) * pdf["n"].to_numpy()[:, None])
-        k, w = total.nonzero()
-        yield pd.DataFrame({"k": k.astype(np.int32), "w": w.astype(np.int32), "v": total[k, w]})
+            made = [words.vector(words.core(t)) for t in pdf["representative"]]
+            yield pdf.assign(ws=[m[0] for m in made], xs=[m[1] for m in made])
 
-    out = np.zeros((size, len(words.names)))
-    for r in pairs.mapInPandas(of, "k int, w int, v double").groupBy("k", "w").agg(F.sum("v").alias("v")).collect():  # clusters x words
-        out[r["k"], r["w"]] = r["v"]
-    return out
+    made = rows.mapInPandas(of, "rep long, representative string, ws array<string>, xs array<double>").where("size(ws) > 0")
+    return made.select(F.xxhash64("rep", "representative").alias("id"), "rep", "ws", "xs")
 
 
-def cluster(nodes: DataFrame, words: Words) -> np.ndarray:
-    """The final clusters as unit vectors, largest first."""
-    sums = pivot_sums(nodes, words)
-    while len(sums) > 1:
-        order = np.argsort(-np.linalg.norm(sums, axis=1), kind="stable")
-        sums = sums[order]
-        m = _unit(sums)
-        kept = _greedy(m, NEAR_AGAIN)
-        to = (m @ m[kept].T).argmax(1)
-        merged = np.zeros((len(kept), sums.shape[1]))
-        np.add.at(merged, to, sums)
-        if len(merged) == len(sums):
-            break
-        sums = merged
-    for _ in range(2):
-        m = _unit(sums)
+def places(nodes: DataFrame, centres: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, cluster_no, cluster_id): the cluster of each node, and the id on file that it is matched with (null if none).
 
-        def closest(batches: Iterator[pd.DataFrame], m: np.ndarray = m) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    s = words.matrix(list(pdf["core"])) @ m.T
-                    yield pdf.assign(k=np.where(s.max(1) >= CLOSE, s.argmax(1), -1).astype(np.int32))
+    A cluster holds the representatives whose closest cluster it is. One without any goes with the cluster that is akin to it, if that is
+    plainly nearer than the next one, or with the representative that is near enough; a node of a cluster that is still unmatched
+    goes with the closest matched one that is nearly as close. Of several representatives the closest to the node decides.
+    """
+    close = staged(similarities(reps, centres))
+    home = _closest(close).where(F.col("s") >= CLOSE)
+    own = cut(home.join(reps.select("id", "rep"), "id").select("k", F.col("id").alias("r"), "rep"))
+    has = cut(own.select("k").distinct())
+    bare = centres.select("id").join(has.withColumnRenamed("k", "id"), "id", "left_anti")
+    between = similarities(centres.join(bare, "id", "left_semi"), centres).join(has, "k", "left_semi")
+    top = between.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", (-F.col("k")).alias("t"))), False), 1, 2).alias("m"))  # matched clusters that share a word
+    best = close.join(reps.select("id", "rep"), "id").groupBy(F.col("k").alias("id")).agg(F.max("s").alias("rs"), F.max_by(F.struct("id", "rep"), F.struct("s", (-F.col("rep")).alias("t"))).alias("r"))
+    m = bare.join(top, "id", "left").join(best, "id", "left").select("id", F.coalesce("rs", F.lit(0.0)).alias("rs"), "r", F.col("m").getItem(0).alias("one"), F.try_element_at("m", F.lit(2)).alias("two"))
+    akin = (F.col("one.s") >= F.greatest(F.lit(AKIN), F.col("rs"))) & (F.col("two").isNull() | (F.col("one.s") >= 1.5 * F.col("two.s")))
+    m = cut(m.withColumn("via", F.when(akin, -F.col("one.t"))))
+    by_akin = m.where("via is not null").select(F.col("id").alias("k2"), F.col("via").alias("k")).join(own, "k").select(F.col("k2").alias("k"), "r", "rep")
+    by_rep = m.where(F.col("via").isNull() & (F.col("rs") >= CLOSE)).select(F.col("id").alias("k"), F.col("r.id").alias("r"), F.col("r.rep").alias("rep"))
+    full = staged(own.unionByName(by_akin).unionByName(by_rep))  # (cluster, representative)
+    sims = staged(similarities(nodes, centres).where(F.col("s") > 0))
+    at = cut(_closest(sims).where(F.col("s") >= CLOSE))
+    other = sims.join(full.select("k").distinct(), "k", "left_semi")
+    other = _closest(other).select("id", F.col("k").alias("k2"), F.col("s").alias("s2"))
+    matched = full.select("k", F.lit(True).alias("is_matched")).distinct()
+    at = at.join(matched, "k", "left").join(other, "id", "left")
+    use = F.when(F.col("is_matched"), F.col("k")).when(F.col("s2") >= F.greatest(F.lit(CLOSE), 0.6 * F.col("s")), F.col("k2"))
+    at = cut(at.select("id", F.col("k").alias("cluster_no"), use.alias("k")))
+    pairs = at.where("k is not null").join(full, "k").select("id", "r", "rep")
+    single = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep"))
+    several = pairs.join(single.where("c > 1").select("id"), "id", "left_semi")
+    dots = similarities(nodes.join(several.select("id").distinct(), "id", "left_semi"), reps).withColumnRenamed("k", "r")
+    chosen = several.join(dots, ["id", "r"], "left").groupBy("id").agg(F.max_by("rep", F.struct(F.coalesce("s", F.lit(0.0)), -F.col("rep"))).alias("best"))
+    named = single.join(chosen, "id", "left").select("id", F.coalesce("best", "rep").alias("cluster_id"))
+    return at.select("id", "cluster_no").join(named, "id", "left")
+
+
+def fitted(notes: DataFrame, representatives: DataFrame) -> tuple[DataFrame, DataFrame, Words, DataFrame]:
+    """(distinct texts, nodes, words, places of the nodes) for the notes of a log."""
+    texts = counted(notes)
+    words = content_words(notes, texts)
+    nodes = staged(cores(texts, words))
+    return texts, nodes, words, staged(places(nodes, clusters(nodes), _reps(representatives, words)))
 
-        if not len(m):
-            break
-        new = totals(nodes.mapInPandas(closest, "core string, n long, k int").where("k >= 0"), words, "k", len(m))
-        sums = new[np.linalg.norm(new, axis=1) > 0]
-    return _unit(sums)
-
-
-def matched(centres: np.ndarray, words: Words, representatives: list[tuple[int, str]]) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
-    """(vectors of the representatives, for each cluster the places of those it is matched with, their ids)."""
-    ids = [i for i, _ in representatives]
-    reps = words.matrix([words.core(t) for _, t in representatives])
-    if not len(centres) or not ids:
-        return reps, [np.zeros(0, int) for _ in centres], ids
-    sims = reps @ centres.T
-    home = sims.argmax(1)
-    out = []
-    for k in range(len(centres)):
-        out.append(np.flatnonzero((home == k) & (sims[:, k] >= CLOSE)))
-    between, has = centres @ centres.T, [k for k, mine in enumerate(out) if len(mine)]
-    for k, mine in enumerate(out):  # a part of a matter whose representative is in another part
-        if len(mine):
-            continue
-        near = sorted(has, key=lambda j: (-between[k, j], j))[:2]
-        rep = sims[:, k].max()
-        if near and between[k, near[0]] >= max(AKIN, rep) and (len(near) < 2 or between[k, near[0]] >= 1.5 * between[k, near[1]]):
-            out[k] = out[near[0]]
-        elif rep >= CLOSE:
-            out[k] = np.array([sims[:, k].argmax()])
-    return reps, out, ids
-
-
-class Placed:
-    """The places of cores: (cluster_no or -1, cluster_id or None, similarity to the centre) of each."""
-
-    def __init__(self, words: Words, centres: np.ndarray, representatives: list[tuple[int, str]]):
-        self.words, self.centres = words, centres
-        self.reps, self.places, self.ids = matched(centres, words, representatives)
-        self.has = np.array([k for k, mine in enumerate(self.places) if len(mine)], int)
-        self.known = sorted(set(self.ids))
-        self.row = {i: k for k, i in enumerate(self.known)}
-
-    def of(self, found: list[str]) -> tuple[np.ndarray, list[int | None], np.ndarray]:
-        m = self.words.matrix(found)
-        s = m @ self.centres.T if len(self.centres) else np.zeros((len(found), 1))
-        k = np.where((s.max(1) >= CLOSE) & np.array([bool(c) for c in found], bool), s.argmax(1), -1) if len(found) else np.zeros(0, int)
-        cid = []
-        for i, c in enumerate(k):
-            own = self.places[c] if c >= 0 else ()
-            if c >= 0 and not len(own) and len(self.has):  # the cluster is matched with none; a matched one may be near enough
-                b = self.has[s[i, self.has].argmax()]
-                own = self.places[b] if s[i, b] >= max(CLOSE, 0.6 * s[i, c]) else ()
-            cid.append(None if not len(own) else self.ids[own[(self.reps[own] @ m[i]).argmax()]] if len(own) > 1 else self.ids[own[0]])
-        return k, cid, s.max(1) if len(found) else np.zeros(0)
-
-    def rows(self, k: np.ndarray, cid: list[int | None]) -> np.ndarray:
-        """A number for each outcome: the known ids first, then the centres without one; -1 for none."""
-        return np.array([-1 if c < 0 else self.row[i] if i is not None else len(self.known) + c for c, i in zip(k, cid)], int)
-
-
-def assign(notes: DataFrame, words: Words, centres: np.ndarray, representatives: list[tuple[int, str]], key: str = "raw_row_id", text: str = "query_text") -> DataFrame:
-    """(cluster_no, cluster_id, key, typical): the cluster of each note, the id it is matched with (null if none) and how near it is."""
-    placed = Placed(words, centres, representatives)
+
+def _core_ids(rows: DataFrame, words: Words, text: str) -> DataFrame:
+    """Add id, the hash of the core of a text; rows without a core are left out."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             code, distinct = pd.factorize(pdf[text])
-            k, cid, near = placed.of([words.core(t) for t in distinct])
-            code = np.asarray(code)
-            ok = code >= 0
-            code = code[ok]
-            out = pd.DataFrame({"cluster_no": k[code].astype(np.int32), "cluster_id": pd.array([cid[c] for c in code], "Int64"), key: pdf[key].to_numpy()[ok], "typical": near[code]})
-            yield out[out["cluster_no"] >= 0]
-
-    kind = dict(notes.dtypes)[key]
-    return notes.select(key, text).where(F.col(text).isNotNull()).mapInPandas(of, f"cluster_no int, cluster_id long, `{key}` {kind}, typical double")
+            found = np.array([words.core(t) for t in distinct], object)
+            pdf = pdf.assign(_core=found[code] if len(distinct) else "")
+            yield pdf[pdf["_core"] != ""]
 
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.where(F.col(text).isNotNull()).mapInPandas(of, f"{schema}, _core string").withColumn("id", F.xxhash64("_core")).drop("_core")
 
-def fitted(notes: DataFrame, representatives: DataFrame) -> tuple[DataFrame, Words, np.ndarray, list[tuple[int, str]]]:
-    """Nodes, words, clusters and representatives (cluster_id, representative) for the notes of a log."""
-    texts = counted(notes)
-    words = content_words(notes, texts)
-    nodes = cut(cores(texts, words))
-    centres = cluster(nodes, words)
-    return nodes, words, centres, [(r[0], r[1]) for r in representatives.select("cluster_id", "representative").where("representative is not null").distinct().orderBy("cluster_id", "representative").collect()]
 
-
-def clustered(notes: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Words, pivots, clusters and assignment for the notes of a log; representatives: (cluster_id, representative)."""
-    _, words, centres, reps = fitted(notes, representatives)
-    return assign(notes, words, centres, reps)
+def clustered(notes: DataFrame, representatives: DataFrame, key: str = "raw_row_id", text: str = "query_text") -> DataFrame:
+    """(cluster_no, cluster_id, key): the cluster of each note and the id it is matched with (null if none)."""
+    _, nodes, words, placed = fitted(notes, representatives)
+    rows = _core_ids(notes.select(key, text), words, text).drop(text)
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") >= max(1.0, total * HOT)
+    known = nodes.where(hot).select("id", F.lit(True).alias("_hot"))  # 1 / HOT cores at most
+    left = rows.join(F.broadcast(known), "id", "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(key), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("_hot")
+    right = placed.join(nodes.select("id", "n"), "id").withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long"))))).drop("n")
+    return left.join(right, ["id", "_salt"]).select("cluster_no", "cluster_id", key)
 
 
 def summed(notes: DataFrame, representatives: DataFrame, most: int = 3, key: str = "raw_row_id", text: str = "query_text") -> DataFrame:
-    """(cluster_id, cluster_no, size, notes): each matched id, and each centre matched with none (cluster_no), with its number of rows and
+    """(cluster_id, cluster_no, size, notes): each matched id, and each cluster matched with none (cluster_no), with its number of rows and
     its ``most`` most typical distinct notes as (position, key, text).
 
-    Typical is near to the middle of all the notes of the id, be they of several centres; ties go by the smallest key of a note. A task
-    keeps the ``most`` best notes of each cluster only.
+    Typical is near to the middle of all the notes of the id, be they of several clusters; ties go by the smallest key of a note.
     """
-    nodes, words, centres, reps = fitted(notes, representatives)
-    placed = Placed(words, centres, reps)
-
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                k, cid, _ = placed.of(list(pdf["core"]))
-                yield pdf.assign(k=placed.rows(k, cid).astype(np.int32))
-
-    middles = _unit(totals(nodes.mapInPandas(numbered, "core string, n long, k int").where("k >= 0"), words, "k", len(placed.known) + len(centres)))
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size: dict[int, int] = {}
-        kept = pd.DataFrame({"g": [], "t": [], "key": [], "near": []})
-        for pdf in batches:
-            pdf = pdf.sort_values(key)
-            code, distinct = pd.factorize(pdf[text])
-            found = [words.core(t) for t in distinct]
-            k, cid, _ = placed.of(found)
-            g = placed.rows(k, cid)
-            near = np.round((words.matrix(found) * middles[g]).sum(1), 9) if len(middles) else np.zeros(len(found))
-            for x, n in zip(*np.unique(g[code], return_counts=True)):
-                size[x] = size.get(x, 0) + int(n)
-            first = pdf[key].to_numpy()[np.unique(code, return_index=True)[1]]  # the smallest key of each text
-            now = pd.DataFrame({"g": g, "t": distinct, "key": first, "near": near})
-            now = pd.concat([kept, now[now["g"] >= 0]]) if len(kept) else now[now["g"] >= 0]
-            now = now.sort_values(["g", "near", "key"], ascending=[True, False, True]).drop_duplicates(["g", "t"])
-            kept = now.groupby("g").head(most)
-        kept = kept.assign(first=~kept.duplicated("g"))
-        ids = [placed.known[int(x)] if x < len(placed.known) else None for x in kept["g"]]
-        nos = [None if x < len(placed.known) else int(x) - len(placed.known) for x in kept["g"]]
-        yield pd.DataFrame({"cluster_id": pd.array(ids, "Int64"), "cluster_no": pd.array(nos, "Int32"), "n": [size[int(x)] if f else 0 for x, f in zip(kept["g"], kept["first"])], "near": kept["near"].to_numpy(), key: kept["key"].to_numpy(), text: kept["t"].to_numpy()})
-
-    kind = dict(notes.dtypes)[key]
-    parts = notes.select(key, text).where(F.col(text).isNotNull()).mapInPandas(best, f"cluster_id long, cluster_no int, n long, near double, `{key}` {kind}, `{text}` string")
-    each = parts.groupBy("cluster_id", "cluster_no", text).agg(F.sum("n").alias("n"), F.max("near").alias("near"), F.min(key).alias(key))  # at most tasks x clusters x most
-    order = F.array_sort(F.collect_list(F.struct((-F.col("near")).alias("far"), F.col(key).alias("k"), F.col(text).alias("t"))))
-    named = F.transform(F.slice(order, 1, most), lambda x, i: F.struct((i + 1).cast("int").alias("position"), x["k"].alias(key), x["t"].alias(text)))
-    return each.groupBy("cluster_id", "cluster_no").agg(F.sum("n").alias("size"), named.alias("notes"))
+    texts, nodes, words, placed = fitted(notes, representatives)
+    group = F.when(F.col("cluster_id").isNull(), F.struct(F.lit(None).cast("long").alias("i"), F.col("cluster_no").alias("c"))).otherwise(F.struct(F.col("cluster_id").alias("i"), F.lit(None).cast("long").alias("c")))
+    home = cut(nodes.join(placed, "id").select("id", F.xxhash64(group).alias("k"), group.alias("g"), F.col("n").cast("double").alias("weight"), "ws", "xs"))
+    middles = summed_up(home)
+    near = similarities(home, middles).join(home.select("id", "k", "g"), ["id", "k"]).select("id", "g", "s")
+    each = _core_ids(texts.select("text", "n", "first_key"), words, "text").join(near, "id")
+    each = staged(each.select("g", "n", "s", "first_key", "text"))
+    sizes = each.groupBy("g").agg(F.sum("n").alias("size"))
+    place = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("s"), "first_key"))
+    first = each.withColumn("position", place).where(F.col("position") <= most)  # cut down on the map side
+    named = F.sort_array(F.collect_list(F.struct(F.col("position").cast("int").alias("position"), F.col("first_key").alias(key), F.col("text").alias(text))))
+    return sizes.join(first.groupBy("g").agg(named.alias("notes")), "g").select(F.col("g.i").alias("cluster_id"), F.col("g.c").alias("cluster_no"), "size", "notes")

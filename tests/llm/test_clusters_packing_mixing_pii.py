@@ -76,11 +76,53 @@ def test_three_typical_notes(spark, matters):
     assert note_clusters.summed(log.where("false"), reps).count() == 0
 
 
-def test_pivots_are_serial():
-    """Batches of pivots keep exactly the nodes that the serial algorithm would take."""
-    words = note_clusters.Words({f"w{k}": 1.0 for k in range(6)}, frozenset())
-    m = words.matrix(["w0 w1", "w0 w1 w2", "w3 w4", "w4 w5", "w3 w4 w5"])
-    assert note_clusters._greedy(m, 0.6) == [0, 2, 3]
+def items(spark, vectors):
+    return spark.createDataFrame([(k, float(v.pop("", 1.0)), list(v), [x / sum(y * y for y in v.values()) ** 0.5 for x in v.values()]) for k, v in vectors.items()], "id long, weight double, ws array<string>, xs array<double>")
+
+
+def random_vectors(n, seed):
+    r = random.Random(seed)
+    return {k: {f"w{w}": r.uniform(0.5, 3) for w in r.sample(range(12), r.randint(1, 5))} for k in r.sample(range(-10_000, 10_000), n)}
+
+
+def cosines(vectors):
+    norm = {k: sum(x * x for x in v.values()) ** 0.5 for k, v in vectors.items()}
+    return {(a, b): sum(x * vectors[b].get(w, 0.0) for w, x in vectors[a].items()) / norm[a] / norm[b] for a in vectors for b in vectors if a != b}
+
+
+@pytest.mark.parametrize("block", [2048, 5])
+def test_neighbours_are_all_found(spark, block):
+    v = random_vectors(60, 1)
+    want = {k for k, s in cosines(v).items() if s >= 0.45}
+    got = {(r["a"], r["b"]): r["s"] for r in note_clusters.neighbours(items(spark, v), 0.45, block).collect()}
+    assert set(got) == want and all(abs(got[k] - cosines(v)[k]) < 1e-4 for k in got)
+
+
+def test_pivots_are_those_of_the_serial_algorithm(spark):
+    v = random_vectors(60, 2)
+    near = {k for k, s in cosines(v).items() if s >= 0.45}
+    kept = []
+    for k in sorted(v):
+        if not any((k, p) in near for p in kept):
+            kept.append(k)
+    got = {r["id"]: r["pivot"] for r in note_clusters.pivots(items(spark, v), 0.45).collect()}
+    assert sorted(set(got.values())) == kept and set(got) == set(v) and all(got[p] == p for p in kept)
+    assert all(k == p or (k, p) in near for k, p in got.items())
+
+
+def test_pivots_by_weight(spark):
+    v = {1: {"a": 1.0, "b": 1.0, "": 1.0}, 2: {"b": 1.0, "c": 1.0, "": 9.0}, 3: {"c": 1.0, "d": 1.0, "": 2.0}, 4: {"x": 1.0, "": 0.5}}
+    got = {r["id"]: r["pivot"] for r in note_clusters.pivots(items(spark, v), 0.4, heaviest=True).collect()}
+    assert got == {1: 2, 2: 2, 3: 2, 4: 4}
+
+
+def test_sums_and_medoids(spark):
+    words = note_clusters.Words({"thrips": 3.0, "streak": 2.0, "onion": 1.0, "rust": 3.0, "wheat": 1.0}, frozenset(("onion", "wheat")))
+    texts = spark.createDataFrame([("thrips in onion streak", 5), ("onion thrips", 3), ("streak of onion", 1), ("rust of wheat", 4), ("onion", 9)], "text string, n long")
+    nodes = note_clusters.cores(texts, words)
+    assert {r["core"]: r["n"] for r in nodes.collect()} == {"onion streak thrips": 5, "onion thrips": 3, "onion streak": 1, "rust wheat": 4}
+    got = {r["medoid"]: round(r["weight"], 3) for r in note_clusters.clusters(nodes).collect()}
+    assert set(got) == {"onion streak thrips", "rust wheat"} and 7 < got["onion streak thrips"] <= 9 and got["rust wheat"] == 4
 
 
 # --- packing -------------------------------------------------------------------------------------------------------------------------
