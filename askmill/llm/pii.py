@@ -57,20 +57,30 @@ class Text:
     one capital, ``X``/``x`` other / common word of a script without capitals, else the sign itself.
     """
 
-    def __init__(self, text: str, common: frozenset[str]):
+    def __init__(self, text: str, common: frozenset[str], classes: dict[tuple[str, str], str] | None = None):
         self.text = text
-        self.words, self.starts, self.ends = [], [], []
-        for m in _TOKEN.finditer(text):
-            self.words.append(m.group())
-            self.starts.append(m.start())
-            self.ends.append(m.end())
-        letters = sum(c.isalpha() for c in text)
-        upper, lower = sum(c.isupper() for c in text), sum(c.islower() for c in text)
-        self.mode = "n" if 0.005 * letters < upper < 0.85 * (upper + lower) else "o"  # both cases, one case
+        found = list(_TOKEN.finditer(text))
+        self.words = [m.group() for m in found]
+        self.starts = [m.start() for m in found]
+        self.ends = [m.end() for m in found]
+        upper, lower = sum(map(str.isupper, text)), sum(map(str.islower, text))
+        # both cases, or (nearly) one case
+        self.mode = "n" if 0.005 * sum(map(str.isalpha, text)) < upper < 0.85 * (upper + lower) else "o"
         self.low = [w.lower() for w in self.words]
-        self.cls = [self._class(w, k, common) for w, k in zip(self.words, self.low)]
-        n = len(self.words)
-        self.gap = [0] + [self.starts[k] - self.ends[k - 1] for k in range(1, n)]
+        classes = {} if classes is None else classes
+        self.cls = []
+        for w, k in zip(self.words, self.low):
+            c = classes.get((w, self.mode))
+            if c is None:
+                if len(classes) > 500_000:
+                    classes.clear()
+                c = classes[(w, self.mode)] = self._class(w, k, common)
+            self.cls.append(c)
+        self.gap = [0, *(s - e for s, e in zip(self.starts[1:], self.ends))]
+        # what stands at a place, and its class, with two places beyond either end
+        self._at = ["^", "^", *("#" if c == "d" else k for c, k in zip(self.cls, self.low)), "^", "^", "^"]
+        self._kind = ["^", "^", *self.cls, "^", "^", "^"]
+        self._after: dict[tuple[str, int], tuple] = {}
 
     def _class(self, w: str, low: str, common: frozenset[str]) -> str:
         a = w[0]
@@ -90,23 +100,41 @@ class Text:
         return "c" if known else "u"
 
     def at(self, k: int) -> str:
-        return ("#" if self.cls[k] == "d" else self.low[k]) if 0 <= k < len(self.words) else "^"
+        return self._at[k + 2]
 
     def kind(self, k: int) -> str:
-        return self.cls[k] if 0 <= k < len(self.words) else "^"
+        return self._kind[k + 2]
+
+    def before(self, i: int, kind: str) -> tuple:
+        """The group for what stands before token i."""
+        return kind, "b", self._at[i + 1], self._kind[i + 1], self._at[i], self._kind[i], self.gap[i] > 0
+
+    def after(self, j: int, kind: str) -> tuple:
+        """The group for what stands from token j on."""
+        g = self._after.get((kind, j))
+        if g is None:
+            g = self._after[(kind, j)] = (kind, "a", self._at[j + 2], self._kind[j + 2], self._at[j + 3], self._kind[j + 3], j < len(self.gap) and self.gap[j] > 0)
+        return g
+
+
+class Run:
+    """The groups of a growing run of tokens; each candidate that ends in it shares the sum of their weights."""
+
+    __slots__ = ("before", "group", "value")
+
+    def __init__(self, before: Run | None, group: tuple):
+        self.before, self.group, self.value = before, group, None
+
+    def groups(self) -> list[tuple]:
+        return [*(self.before.groups() if self.before else ()), self.group]
 
 
 #: A segment with the groups of features that score it: (first token, one past the last, kind, groups).
-Candidate = tuple[int, int, str, list[tuple]]
+Candidate = tuple[int, int, str, list]
 _NAMELIKE = frozenset("UAXICx")
 _WORDLIKE = frozenset("cCuUAIXx")
 
 
-def _around(t: Text, i: int, j: int, kind: str) -> list[tuple]:
-    """Groups for what stands before and after the tokens i to j - 1."""
-    return [(kind, "b", t.at(i - 1), t.kind(i - 1), t.at(i - 2), t.kind(i - 2), t.gap[i] > 0), (kind, "a", t.at(j), t.kind(j), t.at(j + 1), t.kind(j + 1), j < len(t.words) and t.gap[j] > 0)]
-
-
 def _breaks(t: Text, k: int) -> bool:
     """Does the token end the line or, as a full stop, the sentence?"""
     w = t.words[k]
@@ -122,6 +150,7 @@ def candidates(t: Text, known: frozenset[str] = frozenset()) -> Iterator[Candida
     """All segments that could be a personal detail, with the groups of features that score them."""
     n = len(t.words)
     words, cls, gap = t.words, t.cls, t.gap
+    mail = "@" in words or "at" in t.low
     for i in range(n):
         c = cls[i]
         if i and not gap[i] and cls[i - 1] in _WORDLIKE | {"d"} and c != "(":
@@ -129,8 +158,10 @@ def candidates(t: Text, known: frozenset[str] = frozenset()) -> Iterator[Candida
         if c == "d" or words[i] in "+(" or t.low[i] in _DIGITS:
             yield from _numbers(t, i)
         if c in _WORDLIKE or c == "d":
-            yield from _codes(t, i)
-            yield from _emails(t, i)
+            if i + 1 < n and not gap[i + 1]:
+                yield from _codes(t, i)
+            if mail:
+                yield from _emails(t, i)
         if c in "UAXIx" or (c == "C" and t.mode == "n"):
             yield from _names(t, i, known)
         if c in "dUAXIC#" or (c == "c" and (t.mode == "o" or t.kind(i + 1) == "d" or t.at(i + 1) == ".")):
@@ -141,6 +172,7 @@ def _numbers(t: Text, i: int) -> Iterator[Candidate]:
     """Runs of digits, or of words for digits, with single signs and blanks between them."""
     shape, digits, j = [], 0, i
     spoken = t.low[i] in _DIGITS
+    before = t.before(i, "phone")
     while j < len(t.words) and j - i < LONGEST:
         w = t.words[j]
         blank = "_" if j > i and t.gap[j] else ""
@@ -150,7 +182,7 @@ def _numbers(t: Text, i: int) -> Iterator[Candidate]:
             digits += 1
             j += 1
             if digits >= 5:
-                yield i, j, "phone", [("phone", "spoken", min(digits, 13), t.low[j] in _DIGITS if j < len(t.words) else False, t.low[i - 1] in _DIGITS if i else False), *_around(t, i, j, "phone")]
+                yield i, j, "phone", [("phone", "spoken", min(digits, 13), t.low[j] in _DIGITS if j < len(t.words) else False, t.low[i - 1] in _DIGITS if i else False), before, t.after(j, "phone")]
             continue
         if spoken and w in ",-":
             j += 1
@@ -168,7 +200,7 @@ def _numbers(t: Text, i: int) -> Iterator[Candidate]:
                 from2 = t.kind(i - 2) if from_ in ("-", ".", "/", "-_", "+", "+_") else ""
                 whole = "".join(shape)
                 for kind in ("phone", "id_number"):
-                    yield i, j, kind, [(kind, "shape", whole, digits), (kind, "goes", goes, goes2), (kind, "from", from_, from2), *_around(t, i, j, kind)]
+                    yield i, j, kind, [(kind, "shape", whole, digits), (kind, "goes", goes, goes2), (kind, "from", from_, from2), t.before(i, kind), t.after(j, kind)]
             continue
         if not spoken and w in "+().-/" and not (w == "+" and j > i):
             shape.append(blank + w)
@@ -186,7 +218,7 @@ def _codes(t: Text, i: int) -> Iterator[Candidate]:
         j += 1
     if 1 < j - i and digits >= 3:
         goes = t.kind(j) if j < len(t.words) and not t.gap[j] else "_"
-        yield i, j, "id_number", [("id_number", "code", "".join(shape), digits), ("id_number", "goes", goes, t.kind(j + 1) if goes in "-./" else ""), *_around(t, i, j, "id_number")]
+        yield i, j, "id_number", [("id_number", "code", "".join(shape), digits), ("id_number", "goes", goes, t.kind(j + 1) if goes in "-./" else ""), t.before(i, "id_number"), t.after(j, "id_number")]
 
 
 def _emails(t: Text, i: int) -> Iterator[Candidate]:
@@ -210,7 +242,7 @@ def _emails(t: Text, i: int) -> Iterator[Candidate]:
         last = k
         dot, then = _mark(t, k, ".", "dot")
         more = bool(dot) and then < n and t.cls[then] in _WORDLIKE and (dot != "." or not (t.gap[then] or t.gap[k]))
-        yield i, last, "email", [("email", "how", how, min(dots, 4), more), ("email", "mark", sign, before), *_around(t, i, last, "email")]
+        yield i, last, "email", [("email", "how", how, min(dots, 4), more), ("email", "mark", sign, before), t.before(i, "email"), t.after(last, "email")]
         if not more:
             return
         dots, how, k = dots + 1, sign + dot, then
@@ -232,6 +264,7 @@ def _names(t: Text, i: int, known: frozenset[str]) -> Iterator[Candidate]:
     """One to NAME_WORDS words side by side, initials with or without a full stop among them."""
     n, j, count = len(t.words), i, 0
     pattern, inner = [], []
+    before = t.before(i, "person_name")
     first = t.low[i]
     while j < n and count < NAME_WORDS:
         c = t.cls[j]
@@ -250,7 +283,7 @@ def _names(t: Text, i: int, known: frozenset[str]) -> Iterator[Candidate]:
         on = end < n and t.gap[end] == 1 and t.cls[end] in "UAXI"
         prev = i > 0 and t.gap[i] == 1 and t.cls[i - 1] in "UAXI"
         dot = i > 1 and t.words[i - 1] == "." and t.cls[i - 2] == "I"
-        groups = [("person_name", "p", shape, t.mode), ("person_name", "on", on, prev, dot, min(count, 3), t.kind(end), t.mode), ("person_name", "len", min(len(t.words[end - 1]), 4), c, count), *inner, *_around(t, i, end, "person_name")]
+        groups = [("person_name", "p", shape, t.mode), ("person_name", "on", on, prev, dot, min(count, 3), t.kind(end), t.mode), ("person_name", "len", min(len(t.words[end - 1]), 4), c, count), *inner, before, t.after(end, "person_name")]
         if count == 1:
             groups.append(("person_name", "alone", first in known, t.kind(i - 1), t.at(i - 1), t.at(end)))
         yield i, end, "person_name", groups
@@ -261,7 +294,8 @@ def _addresses(t: Text, i: int) -> Iterator[Candidate]:
     n = len(t.words)
     commas = words = small = numbers = 0
     top = ""  # the classes before the first comma
-    inner: list[tuple] = []
+    inner: Run | None = None
+    before = t.before(i, "address")
     lead = "d" if t.cls[i] == "d" else t.cls[i]
     head = [("address", "lead", t.low[i] if lead != "d" else "#", lead, t.kind(i + 1) if i + 1 < n else "^")]
     back = ("address", "from", t.kind(i - 1), i > 0 and t.gap[i] > 0, t.at(i - 2) if t.kind(i - 1) in ".,-" else "", t.cls[i - 2] if i > 1 else "^")
@@ -273,18 +307,18 @@ def _addresses(t: Text, i: int) -> Iterator[Candidate]:
             top += c
         if c == "d":
             numbers += 1
-            inner.append(("address", "d", len(w) if len(w) < 7 else 7, j == i))
+            inner = Run(inner, ("address", "d", min(len(w), 7), j == i))
         elif c in _WORDLIKE:
             words += 1
             small += c in "cx"
-            inner.append(("address", "w", t.low[j], c, j == i))
+            inner = Run(inner, ("address", "w", t.low[j], c, j == i))
         elif w == ",":
             commas += 1
             if commas == 1:
                 head.append(("address", "top", top[:6], t.low[j - 1] if t.cls[j - 1] in _WORDLIKE else "#"))
             continue
         elif w in "-/.#():'&–":
-            inner.append(("address", "s", w, t.at(j - 1) if w == "." else ""))
+            inner = Run(inner, ("address", "s", w, t.at(j - 1) if w == "." else ""))
             continue
         else:
             return
@@ -298,8 +332,8 @@ def _addresses(t: Text, i: int) -> Iterator[Candidate]:
         where = "pin" if pin else "d" if c == "d" else c
         prior = t.at(j - 1) if j > i else ""
         yield i, j + 1, "address", [
-            *head, back, *inner, ("address", "end", where, nearby), ("address", "last", t.low[j] if c in "cCUA" else where, nearby), ("address", "before last", prior if prior in ",-–" or t.cls[j - 1] in "cC" else "w", where),
-            ("address", "size", min(commas, 4), min(numbers, 4), lead == "d"), ("address", "words", min(words, 9), commas > 0, pin), ("address", "small", min(small, 4)), *_around(t, i, j + 1, "address"),
+            *head, back, inner, ("address", "end", where, nearby), ("address", "last", t.low[j] if c in "cCUA" else where, nearby), ("address", "before last", prior if prior in ",-–" or t.cls[j - 1] in "cC" else "w", where),
+            ("address", "counts", min(commas, 4), min(numbers, 4), lead == "d", min(words, 9), pin, min(small, 4)), before, t.after(j + 1, "address"),
         ]
 
 
@@ -329,7 +363,10 @@ def features(group: tuple) -> list[str]:
         return [f"{kind}|alone|{known}", f"{kind}|alone|{known}|{c}", f"{kind}|alone b|{b}|{known}", f"{kind}|alone a|{a}|{known}", f"{kind}|alone ab|{b}|{a}"]
     if what == "lead":
         return [f"{kind}|lead|{group[2]}", f"{kind}|leadc|{group[3]}|{group[4]}"]
-    if what in ("top", "end", "last", "size", "words", "from", "how", "mark"):
+    if what == "counts":
+        commas, numbers, lead, words, pin, small = group[2:]
+        return [f"{kind}|size|{commas}|{numbers}|{lead}", f"{kind}|size1|{commas}", f"{kind}|size2|{numbers}|{lead}", f"{kind}|words|{words}|{commas > 0}|{pin}", f"{kind}|words1|{words}", f"{kind}|words2|{commas > 0}|{pin}", f"{kind}|small|{small}", f"{kind}|bias"]
+    if what in ("top", "end", "last", "from", "how", "mark"):
         return [*f, f"{kind}|{what}1|{group[2]}", f"{kind}|{what}2|{'|'.join(map(str, group[3:]))}", f"{kind}|bias"]
     return f
 
@@ -338,42 +375,71 @@ class Model:
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
         self._sums: dict[tuple, float] = {}
+        self.common: frozenset[str] | None = None
+        self.classes: dict[tuple[str, str], str] = {}  # of words under these common ones
 
     def __getstate__(self):
-        return {"weights": self.weights, "_sums": {}}
-
-    def score(self, groups: list[tuple]) -> float:
+        return {"weights": self.weights, "_sums": {}, "common": None, "classes": {}}
+
+    def one(self, group: tuple) -> float:
+        """The weight of a group."""
+        s = self._sums.get(group)
+        if s is None:
+            if len(self._sums) > 500_000:
+                self._sums.clear()
+            s = self._sums[group] = sum(self.weights.get(f, 0.0) for f in features(group))
+        return s
+
+    def score(self, groups: list[tuple | Run]) -> float:
         out, sums = 0.0, self._sums
         for g in groups:
-            s = sums.get(g)
-            if s is None:
-                if len(sums) > 500_000:
-                    sums.clear()
-                s = sums[g] = sum(self.weights.get(f, 0.0) for f in features(g))
-            out += s
+            if type(g) is Run:
+                out += g.value if g.value is not None else self._run(g)
+            else:
+                s = sums.get(g)
+                out += self.one(g) if s is None else s
         return out
 
+    def _run(self, run: Run) -> float:
+        todo = []
+        r: Run | None = run
+        while r is not None and r.value is None:
+            todo.append(r)
+            r = r.before
+        value = r.value if r is not None else 0.0
+        for r in reversed(todo):
+            value = r.value = value + self.one(r.group)
+        return value
+
+    def scored(self, found: Iterator[Candidate]) -> list[tuple[int, int, str, float]]:
+        """(end, start, kind, score) of the candidates that score more than none."""
+        return [(c[1], c[0], c[2], s) for c in found if (s := self.score(c[3])) > 0]
+
     def decode(self, found: Iterator[Candidate]) -> list[tuple[int, int, str]]:
-        """The best set of segments that do not overlap: semi-Markov Viterbi, free tokens scoring 0."""
-        scored = sorted((c[1], c[0], c[2], s) for c in found if (s := self.score(c[3])) > 0)
-        if not scored:
-            return []
-        ends = [x[0] for x in scored]
-        best, take = [0.0], []
-        for k, (_, start, _, s) in enumerate(scored):
-            j = bisect_right(ends, start, 0, k)
-            take.append((best[j] + s > best[k], j))
-            best.append(max(best[k], best[j] + s))
-        out, k = [], len(scored)
-        while k:
-            yes, j = take[k - 1]
-            if yes:
-                end, start, kind, _ = scored[k - 1]
-                out.append((start, end, kind))
-                k = j
-            else:
-                k -= 1
-        return out[::-1]
+        return best_segments(self.scored(found))
+
+
+def best_segments(scored: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str]]:
+    """The best set of segments that do not overlap: semi-Markov Viterbi over (end, start, kind, score), free tokens scoring 0."""
+    if not scored:
+        return []
+    scored = sorted(scored)
+    ends = [x[0] for x in scored]
+    best, take = [0.0], []
+    for k, (_, start, _, s) in enumerate(scored):
+        j = bisect_right(ends, start, 0, k)
+        take.append((best[j] + s > best[k], j))
+        best.append(max(best[k], best[j] + s))
+    out, k = [], len(scored)
+    while k:
+        yes, j = take[k - 1]
+        if yes:
+            end, start, kind, _ = scored[k - 1]
+            out.append((start, end, kind))
+            k = j
+        else:
+            k -= 1
+    return out[::-1]
 
 
 def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epochs: int = 5, rate: float = 0.4, l2: float = 3e-5) -> Model:
@@ -387,7 +453,7 @@ def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epo
             continue
         flat, rows = [], []
         for k, c in enumerate(found):
-            for g in c[3]:
+            for g in [x for y in c[3] for x in (y.groups() if type(y) is Run else (y,))]:
                 ids = of_group.get(g)
                 if ids is None:
                     ids = of_group[g] = [number.setdefault(f, len(number)) for f in features(g)]
@@ -444,11 +510,16 @@ def _sum(values: list[float]) -> float:
 
 def find(model: Model, text: str, common: frozenset[str]) -> list[tuple[int, int, str]]:
     """The personal details of a text: (start, end, kind), in order."""
-    t = Text(text, common)
-    found = model.decode(candidates(t))
+    if model.common is not common:
+        model.common, model.classes = common, {}
+    t = Text(text, common, model.classes)
+    scored = model.scored(candidates(t))
+    found = best_segments(scored)
     known = frozenset(t.low[i] for i, j, k in found if k == "person_name" and sum(c in _WORDLIKE for c in t.cls[i:j]) > 1 and t.cls[i] != "I")
-    if known and sum(w in known for w in t.low) > len(known):
-        found = model.decode(candidates(t, known))
+    if known and sum(w in known for w in t.low) > len(known):  # only names that start with a known word score otherwise now
+        again = {i for i, w in enumerate(t.low) if w in known}
+        scored = [x for x in scored if x[2] != "person_name" or x[1] not in again]
+        found = best_segments(scored + model.scored(c for i in sorted(again) if t.cls[i] in "UAXIxC" for c in _names(t, i, known)))
     return [(t.starts[i], t.ends[j - 1], k) for i, j, k in found]
 
 
