@@ -106,7 +106,8 @@ class Pair:
     def is_copy(self) -> bool:
         """Is the answer the question and nothing else, perhaps introduced, repeated or slightly altered?"""
         q, a, cover = self.q, self.a, self.cover
-        if not q or not a:
+        known = set(q)
+        if not q or not a or sum(w in known for w in a) < 0.6 * sum(w not in _INTRO for w in a):  # no tiling can cover enough
             return False
         if len(a) > 1.5 * len(q):  # given back more than once
             cover = tiles(q, a, 2 if len(q) > 3 else 1, again=True)
@@ -123,13 +124,11 @@ class Pair:
 
     def is_foreign(self) -> bool:
         """Is most of the answer in another script, or in Latin letters but not English? A restated question is left out of account."""
-        letters = [c for c in self.answer if c.isalpha()]
-        if not letters:
-            return False
-        if sum(c < "ɐ" for c in letters) < 0.5 * len(letters):
-            return True
-        words = [w for w in self.a if not w.isdigit()]
-        left = [w for w, c in zip(self.a, self.cover) if not c and not w.isdigit()] or words
+        if not self.answer.isascii():
+            letters = [c for c in self.answer if c.isalpha()]
+            if letters and sum(c < "ɐ" for c in letters) < 0.5 * len(letters):
+                return True
+        left = [w for w, c in zip(self.a, self.cover) if not c and not w.isdigit()] or [w for w in self.a if not w.isdigit()]
         return len(left) >= 5 and sum(w in _FUNCTION for w in left) < 0.1 * len(left)
 
     def rest(self) -> str:
@@ -225,10 +224,19 @@ def refuses(sentence: str) -> bool:
     return any(r.search(coded) for r in _RULES)
 
 
-def is_refusal(answer: str) -> bool:
-    """Does a sentence decline to answer, with no more sentences of advice than such ones in the whole answer?"""
-    parts = _split(bare(answer))
-    no = [refuses(s) for s in parts]
+def is_refusal(answer: str, parts: list[str] | None = None, known: dict[str, bool] | None = None) -> bool:
+    """Does a sentence decline to answer, with no more sentences of advice than such ones in the whole answer?
+
+    parts: its sentences, if they are at hand; known: what was found of sentences met before.
+    """
+    parts = _split(bare(answer)) if parts is None else parts
+    known = {} if known is None else known
+    no = []
+    for s in parts:
+        r = known.get(s)
+        if r is None:
+            r = known[s] = refuses(s)
+        no.append(r)
     if not any(no):
         return False
     advice = 0
@@ -373,20 +381,24 @@ def _grams(words: list[str]) -> list[str]:
 def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (unique_q_id, defect, grams) of the answers and, with a null id, (gram, ends, places): the runs of one to three masked words of
     the finished sentences, how often they end one and how often they stand anywhere."""
+    known: dict[str, bool] = {}
     for pdf in batches:
         ids, defects, last = [], [], []
-        ends: Counter[str] = Counter()
-        places: Counter[str] = Counter()
+        sentences: Counter[str] = Counter()
+        if len(known) > 200_000:
+            known.clear()
         for i, q, c, a in zip(pdf["unique_q_id"], pdf["question"], pdf["category"], pdf["answer"]):
             d, grams = None, []
             if is_empty(a):
                 d = None if (c or "").strip().upper() == "IRRELEVANT_CROP" else "empty"
             else:
                 clean = bare(a)
+                parts = _split(clean)
+                sentences.update(parts)
                 pair = Pair(q, clean)
                 if pair.is_copy():
                     d = "copied_question"
-                elif is_refusal(clean):
+                elif is_refusal(clean, parts, known):
                     d = "refusal"
                 elif pair.is_foreign():
                     d = "other_language"
@@ -394,16 +406,22 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     broken, open_ = parse(Pair(q, a).rest() if clean != a.strip() else pair.rest())
                     d = "truncated" if broken else None
                     grams = _grams(masked(_WORD.findall(open_)))
-                for s in _split(clean):
-                    if s.rstrip()[-1] in ".!?।":
-                        words = masked(_WORD.findall(s))
-                        for n in (1, 2, 3):
-                            places.update(" ".join(words[k : k + n]) for k in range(len(words) - n + 1))
-                        ends.update(_grams(words))
             if d or grams:
                 ids.append(i)
                 defects.append(d)
                 last.append(grams)
+        forms: Counter[tuple[str, ...]] = Counter()  # of one masked form are many sentences
+        for s, k in sentences.items():
+            if s.rstrip()[-1] in ".!?।":
+                forms[tuple(masked(_WORD.findall(s)))] += k
+        ends: Counter[str] = Counter()
+        places: Counter[str] = Counter()
+        for words, k in forms.items():
+            for n in (1, 2, 3):
+                for i in range(len(words) - n + 1):
+                    places[" ".join(words[i : i + n])] += k
+            for g in _grams(list(words)):
+                ends[g] += k
         n, m = len(ids), len(places)
         if n + m:
             none = lambda values, k, first: pd.Series([*([None] * k if first else values), *(values if first else [None] * k)], dtype=object)
