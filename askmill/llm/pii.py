@@ -50,6 +50,10 @@ _TOKEN = re.compile(r"\d+|[^\W\d_]+(?:(?![\u0964\u0965])[^\d\W\u0900-\u0d7f]*[\u
 _DIGITS = frozenset("zero one two three four five six seven eight nine oh double triple".split())
 
 
+#: Signs that may end a line or sentence.
+_STOPS = frozenset("\n;|!?।.")
+
+
 class Text:
     """A text with its tokens and the class of each.
 
@@ -81,6 +85,12 @@ class Text:
         self._at = ["^", "^", *("#" if c == "d" else k for c, k in zip(self.cls, self.low)), "^", "^", "^"]
         self._kind = ["^", "^", *self.cls, "^", "^", "^"]
         self._after: dict[tuple[str, int], tuple] = {}
+        # the next comma or digits at or after a place, and the next end of a line or sentence after it
+        n = len(self.words)
+        self.mark, self.stop = [n] * (n + 1), [n] * (n + 1)
+        for k in range(n - 1, -1, -1):
+            self.mark[k] = k if self.cls[k] in ",d" else self.mark[k + 1]
+            self.stop[k] = k if self.cls[k] in _STOPS and _breaks(self, k) else self.stop[k + 1]
 
     def _class(self, w: str, low: str, common: frozenset[str]) -> str:
         a = w[0]
@@ -290,8 +300,10 @@ def _names(t: Text, i: int, known: frozenset[str]) -> Iterator[Candidate]:
 
 
 def _addresses(t: Text, i: int) -> Iterator[Candidate]:
-    """From a word or number that may name a house on to each word or number up to LONGEST tokens further."""
-    n = len(t.words)
+    """From a word or number that may name a house on to each word or number up to LONGEST tokens further; a comma or number must be inside."""
+    n, stop = len(t.words), t.stop[i + 1]
+    if t.mark[i] >= min(stop, i + LONGEST):
+        return
     commas = words = small = numbers = 0
     top = ""  # the classes before the first comma
     inner: Run | None = None
@@ -299,10 +311,8 @@ def _addresses(t: Text, i: int) -> Iterator[Candidate]:
     lead = "d" if t.cls[i] == "d" else t.cls[i]
     head = [("address", "lead", t.low[i] if lead != "d" else "#", lead, t.kind(i + 1) if i + 1 < n else "^")]
     back = ("address", "from", t.kind(i - 1), i > 0 and t.gap[i] > 0, t.at(i - 2) if t.kind(i - 1) in ".,-" else "", t.cls[i - 2] if i > 1 else "^")
-    for j in range(i, min(n, i + LONGEST)):
+    for j in range(i, min(n, stop, i + LONGEST)):
         c, w = t.cls[j], t.words[j]
-        if j > i and _breaks(t, j):
-            return
         if not commas:
             top += c
         if c == "d":
@@ -322,7 +332,7 @@ def _addresses(t: Text, i: int) -> Iterator[Candidate]:
             continue
         else:
             return
-        if words + numbers < 3 or small > 5 or (t.mode == "n" and c == "c"):
+        if words + numbers < 3 or not commas + numbers or small > 5 or (t.mode == "n" and c == "c"):
             if small > 5:
                 return
             continue

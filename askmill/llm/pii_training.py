@@ -140,7 +140,7 @@ class _Maker:
 
     def street(self) -> str:
         r = self.r
-        name = r.choice([self.word(), self.family(), r.choice("Gandhi Nehru Station Temple Park Church Market Lake Hill Mill".split()), f"{self.word()} {self.word()}"])
+        name = r.choice([self.word(), self.family(), r.choice("Gandhi Nehru Station Temple Park Church Market Lake Hill Mill MG JN RK".split()), f"{self.word()} {self.word()}"])
         return f"{name} {r.choice(_STREETS)}"
 
     def address(self) -> str:
