@@ -42,7 +42,7 @@ PLACEHOLDER = {"person_name": "[NAME]", "phone": "[PHONE]", "id_number": "[ID]",
 LONGEST = 24
 #: Words of a person's name, initials included.
 NAME_WORDS = 5
-SENTENCES = 3000
+SENTENCES = 4500
 LEAST_SHARE = 1 / 2000
 
 #: Digits, words (with the vowel signs of Indian scripts, which are no letters), line ends, signs.
@@ -473,8 +473,9 @@ def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epo
         at = {p: k for k, p in enumerate(points)}
         made.append((np.array(flat), np.array(rows), [(at[c[0]], at[c[1]]) for c in found], np.array([(c[0], c[1], c[2]) in gold for c in found], float), len(points)))
     w, squares = np.zeros(len(number)), np.full(len(number), 1e-2)
+    mean, kept = np.zeros(len(number)), 0
     order = np.random.default_rng(5)
-    for _ in range(epochs):
+    for epoch in range(epochs):
         for x in order.permutation(len(made)):
             flat, rows, spans, gold, m = made[x]
             score = np.bincount(rows, w[flat], len(spans))
@@ -488,6 +489,9 @@ def train(examples: list[tuple[list[Candidate], set[tuple[int, int, str]]]], epo
             step = np.bincount(back, g[rows[use]], len(ids)) - l2 * w[ids]
             squares[ids] += step * step
             w[ids] += rate * step / np.sqrt(squares[ids])
+        if 2 * epoch >= epochs - 1:  # the mean of the later epochs' ends
+            mean, kept = mean + w, kept + 1
+    w = mean / max(1, kept)
     return Model({f: float(w[k]) for f, k in number.items() if abs(w[k]) > 1e-3})
 
 

@@ -34,6 +34,9 @@ _PLACES = "Agra Bengaluru Bhopal Chennai Coimbatore Delhi Guntur Guwahati Hubli
 _STREETS = "Road Street Lane Marg Gali Nagar Colony Layout Enclave Extension Avenue Vihar Path Chowk Bazaar Society Towers Apartments Residency Cross Main Sector Block Phase Rd St Ave".split()
 _BUILDINGS = "Niwas Sadan Bhavan Kutir Villa Heights Residency Apartments Towers Mansion Chambers".split()
 _MONTHS = "January February March April May June July August September October November December".split()
+#: Words that stand before names and are no part of them.
+_ROLES = "Teacher Driver Nurse Clerk Guide Manager Doctor Student Tenant Owner Officer Inspector Engineer Lawyer Judge Minister Cook Guard Editor Author Coach Captain Director Secretary Principal Farmer Trader Broker Agent Brother Sister Uncle Aunt Cousin Neighbour Friend Colleague Witness Applicant Member Candidate".split()
+_WHEN = "Yesterday Today Tomorrow Later Then Now Soon Once Here Meanwhile Afterwards Perhaps Only Even Also When If Because While Since After Before".split()
 _DIGITS = "zero one two three four five six seven eight nine".split()
 
 #: {name} etc. are segments to find; {place}, {brand}, {org}, {n}, {date}, {sum}, {code}, {serial} are not.
@@ -201,6 +204,9 @@ class _Maker:
         if r.random() < 0.15:  # a given name again
             w = lambda k: " ".join(r.choice(_PLAIN) for _ in range(k))
             return f"{w(2).capitalize()} {{name}} {w(2)}. {r.choice([w(1).capitalize() + ' ', w(3).capitalize() + ' ', ''])}{{known}} {w(3)}."
+        if r.random() < 0.15:
+            lead = r.choice(_ROLES if r.random() < 0.6 else _WHEN)
+            return f"{lead if r.random() < 0.8 else lead.lower()} {{name}} {' '.join(r.choice(_PLAIN) for _ in range(r.randint(1, 4)))}."
         slot = r.choice(["{name}", "{name}", "{name}", "{place}", "{place}", "{brand}", "{brand}", "{place}", "{phone}", "{address}", "{email}", "{id}", "{serial}", "{n} {brand}", "{org}"])
         before, after = ([r.choice(_PLAIN) for _ in range(r.choice((0, 1, 1, 2, 3)) if a else r.randint(1, 3))] for a in (1, 0))
         if before:
@@ -263,7 +269,7 @@ def lexicon() -> frozenset[str]:
     """The common words of the sentences."""
     own = {w for p in fixed_parts() for w in re.findall(r"(?<!\w)(?:[a-z]{2,}|[^\W\d_a-zA-Z][\w]*)(?!\w)", p)}
     own |= {w.lower() for p in fixed_parts() for w in re.findall(r"[A-Z][a-z]+", p)} - {"monday", "friday", "aadhaar", "tehsil", "pan"}
-    return frozenset(own | {w.lower() for w in _STREETS if len(w) > 3} | set("house flat plot door room shop near behind opposite temple school bank hospital station church mosque park market lake hill mill ward post floor block main cross".split()))
+    return frozenset(own | {w.lower() for w in _ROLES + _WHEN} | {w.lower() for w in _STREETS if len(w) > 3} | set("house flat plot door room shop near behind opposite temple school bank hospital station church mosque park market lake hill mill ward post floor block main cross".split()))
 
 
 def examples(n: int, seed: int = 11) -> list[tuple[list[Candidate], set[tuple[int, int, str]]]]:
