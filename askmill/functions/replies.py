@@ -115,6 +115,27 @@ def ask_groups(questions: Column, topic: Column, crop: str) -> Column:
     return F.concat(F.lit("Topic: "), topic, F.lit(asked), numbered(F.transform(questions, strip)))
 
 
+def ask_range(crop: str, questions: Column) -> Column:
+    """Do the representatives of a cluster, which are far apart, need one and the same advice?"""
+    return F.concat(F.lit(f"Crop: {crop}. These questions span one cluster. Would an officer give one and the same advice for all of them?\n"), numbered(questions), F.lit("\nA) for all\nB) for most, with small changes\nC) no\nReply with A, B or C:"))
+
+
+def ask_split(questions: Column, topic: Column, crop: str) -> Column:
+    """Groups of two or more questions that need the same advice; one group means that the cluster stays whole."""
+    asked = f'\nCrop: {crop}. Put questions that need the very same advice into one group, but part them only where the advice differs; no group of one question. Reply as [{{"group": 1, "label": "two to four words", "indices": [1, 2]}}].\n'
+    return F.concat(F.lit("Topic: "), topic, F.lit(asked), numbered(F.transform(questions, strip)))
+
+
+def ask_join(crop: str, a: Column, b: Column) -> Column:
+    """Do the representatives of two clusters need the same advice?"""
+    return F.concat(F.lit(f"Crop: {crop}.\nFirst cluster: "), a, F.lit("\nSecond cluster: "), b, F.lit("\nWould both get the same advice, so that they should become one?\nA) yes\nB) no\nReply with A or B:"))
+
+
+def ask_same(crop: str, a: str, b: str) -> str:
+    """Do two questions need the same advice?"""
+    return f"Crop: {crop}.\nFirst question: {a}\nSecond question: {b}\nDo both need the same advice? A) yes B) no\nReply with A or B:"
+
+
 def system_prompt(crop: Column, rejected: Column, hints: Column) -> Column:
     """Instructions for the generator of one question-answer pair per call."""
     return F.concat(
@@ -123,23 +144,32 @@ def system_prompt(crop: Column, rejected: Column, hints: Column) -> Column:
     )
 
 
+#: The headings of a reply, bold or not, with or without a colon (fixed format).
+_HEADINGS = ("CATEGORY", "QUESTION", "ANSWER")
+_HEADING_LINE = rf"(?i)^\s*(?:\*\*)?({'|'.join(_HEADINGS)})(?:\*\*)?:?"
+
+
 def qa_fields(reply: Column) -> tuple[Column, Column, Column]:
     """(question, category, answer) of a reply in CATEGORY / QUESTION / ANSWER form.
 
-    Fences around it are dropped. No heading at all: PARSE_ERROR with the whole text; no category: Other; no answer: the whole text.
+    The reply is read by lines: each line that starts with a heading opens a part, which ends before the next line with another heading
+    (the answer does not end). Fences around it are dropped. No heading at all: PARSE_ERROR with the whole text; no category: Other; no
+    answer: the whole text.
     """
     text = strip(F.regexp_replace(strip(F.coalesce(reply, F.lit(""))), r"^```(?:markdown|text)?\s*|\s*```$", ""))
-    head = r"(?:^|\n)\s*(?:\*\*)?{0}(?:\*\*)?:?"
-    stop = r"(?=\n\s*(?:\*\*)?(?:{0}|ANSWER)|$)"
-
-    def part(name: str, other: str | None) -> tuple[Column, Column]:
-        start = head.format(name)
-        body = rf"(?is){start}\s*(.*?){stop.format(other)}" if other else rf"(?is){start}\s*(.*)"
-        return text.rlike(f"(?i){start}"), strip(F.regexp_extract(text, body, 1))
-
-    has_c, c = part("CATEGORY", "QUESTION")
-    has_q, q = part("QUESTION", "CATEGORY")
-    has_a, a = part("ANSWER", None)
+    lines = F.split(text, "\n")
+    kinds = F.transform(lines, lambda x: F.upper(F.regexp_extract(x, _HEADING_LINE, 1)))
+
+    def part(name: str) -> tuple[Column, Column]:
+        start = F.array_position(kinds, name)  # from 1; 0 if there is none
+        others = [h for h in _HEADINGS if h != name]
+        after = F.filter(F.transform(kinds, lambda k, i: F.when((i + 1 > start) & k.isin(*others), i + 1)), lambda i: i.isNotNull())
+        stop = F.lit(None).cast("int") if name == "ANSWER" else F.try_element_at(after, F.lit(1))
+        size = F.coalesce(stop, F.size(lines) + 1) - start
+        body = F.array_join(F.slice(lines, F.greatest(start, F.lit(1)).cast("int"), F.greatest(size, F.lit(0)).cast("int")), "\n")
+        return start > 0, strip(F.regexp_replace(body, _HEADING_LINE, ""))
+
+    (has_c, c), (has_q, q), (has_a, a) = (part(h) for h in _HEADINGS)
     none = ~(has_c | has_q | has_a)
     return F.when(has_q, q).otherwise(F.lit("")), F.when(none, F.lit("PARSE_ERROR")).when(has_c, c).otherwise(F.lit("Other")), F.when(has_a, a).otherwise(text)
 

@@ -1,16 +1,21 @@
 """Density clustering of one bounded set of vectors (HDBSCAN), and the search over a grid.
 
-A set of questions is limited before it is clustered (``max_queries``), so each configuration is one task; configurations are independent
-and run in parallel. Distances are computed row by row: memory is linear in the number of questions.
+A set of questions is limited before it is clustered (``max_queries``), so all configurations that share coordinates are one task; tasks are
+independent and run in parallel. Clusters are formed on coordinates that come from the graph of nearest neighbours in the hybrid distance, so
+alpha and the number of neighbours count. Distances are computed by rows: memory is linear in the number of questions.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.vectors import unit
+
 
 def hdbscan(x: np.ndarray, min_cluster_size: int = 5, min_samples: int = 5) -> np.ndarray:
     """Labels from 0, noise -1: core distances, minimum spanning tree of the mutual reachability, condensed tree, excess of mass."""
@@ -112,24 +117,86 @@ def hdbscan(x: np.ndarray, min_cluster_size: int = 5, min_samples: int = 5) -> n
     return labels
 
 
-def reduce(x: np.ndarray, components: int) -> np.ndarray:
-    """Principal components; a stand-in where no manifold reducer is at hand."""
-    if x.shape[1] <= components or len(x) <= components:
-        return x
-    centred = x - x.mean(0)
-    _, _, v = np.linalg.svd(centred, full_matrices=False)
-    return centred @ v[:components].T
+def neighbour_graph(x: np.ndarray, terms: list[list[str]], alpha: float, k: int, most_terms: int = 1000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, columns, distances) of the k nearest others of each item in the hybrid distance alpha * cosine + (1 - alpha) * Jaccard.
 
-
-def grid_labels(vectors: DataFrame, grid: DataFrame, key: str, vector: str) -> DataFrame:
-    """(config_id, key, cluster_id): labels of every configuration of a grid, one task each."""
-    kind = dict(vectors.dtypes)[key]
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v")).crossJoin(F.broadcast(grid.select("config_id", "min_cluster_size", "min_samples", "n_components")))  # a grid has a few thousand rows at most
+    Terms are the ``most_terms`` commonest ones. Distances are computed for 512 rows at a time, so there is no matrix of all pairs.
+    """
+    n = len(x)
+    k = min(k, n - 1)
+    u = unit(x)
+    count = Counter(t for ts in terms for t in set(ts))
+    at = {t: i for i, (t, _) in enumerate(sorted(count.items(), key=lambda c: (-c[1], c[0]))[:most_terms])}
+    b = np.zeros((n, max(1, len(at))), np.float32)
+    for i, ts in enumerate(terms):
+        b[i, [at[t] for t in set(ts) if t in at]] = 1
+    size = b.sum(1)
+    rows, cols, dist = [], [], []
+    for i in range(0, n, 512):
+        both = b[i : i + 512] @ b.T
+        either = size[i : i + 512, None] + size[None] - both
+        sparse = np.where(either > 0, 1 - both / np.maximum(either, 1), 0.0)
+        d = alpha * (1 - u[i : i + 512] @ u.T) + (1 - alpha) * sparse
+        d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
+        near = np.argsort(np.round(d, 9), axis=1, kind="stable")[:, :k]
+        rows.append(np.repeat(np.arange(i, i + len(d)), k))
+        cols.append(near.ravel())
+        dist.append(np.maximum(np.take_along_axis(d, near, 1), 0).ravel())
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
+
+
+def reduce(graph: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, components: int, rounds: int = 60) -> np.ndarray:
+    """Coordinates from a neighbour graph: the smoothest vectors on it (Laplacian eigenmaps, by subspace iteration).
+
+    Weights fall with the distance beyond the nearest neighbour, on the scale of each item's own neighbours, and are made symmetric as the
+    probability that either end keeps the edge. A stand-in where no manifold reducer is at hand: it starts from the same kind of graph.
+    """
+    rows, cols, dist = graph
+    k = max(1, len(rows) // max(1, n))
+    d = dist.reshape(n, k)
+    beyond = np.maximum(d - d.min(1, keepdims=True), 0)
+    w = np.exp(-beyond / np.maximum(beyond.mean(1, keepdims=True), 1e-9)).ravel()
+    key, back = np.unique(np.minimum(rows, cols) * n + np.maximum(rows, cols), return_inverse=True)
+    total, times = np.bincount(back, w), np.bincount(back)
+    product = np.exp(np.bincount(back, np.log(np.maximum(w, 1e-300))))
+    s = total - np.where(times > 1, product, 0.0)
+    i, j = key // n, key % n
+    degree = np.maximum(np.bincount(i, s, n) + np.bincount(j, s, n), 1e-12)
+    s = s / np.sqrt(degree[i] * degree[j])
+    m = max(1, min(components, n - 1))
+    flat = np.sqrt(degree) / np.sqrt(degree.sum())  # the vector that tells nothing
+    v = np.random.default_rng(42).normal(size=(n, m))
+    for _ in range(rounds):
+        v = np.linalg.qr(v - np.outer(flat, flat @ v))[0]
+        y = v.copy()  # (1 + W) v has the largest eigenvalues first
+        for c in range(m):
+            y[:, c] += np.bincount(i, s * v[j, c], n) + np.bincount(j, s * v[i, c], n)
+        v = y
+    v = np.linalg.qr(v - np.outer(flat, flat @ v))[0]
+    v = v * np.where(v[np.abs(v).argmax(0), np.arange(m)] < 0, -1.0, 1.0)  # one sign at any platform
+    return np.round(v * np.sqrt(n) / np.sqrt(degree / degree.mean())[:, None], 9)
+
+
+def grid_labels(items: DataFrame, grid: DataFrame, key: str, vector: str, terms: str, most: int = 20_000) -> DataFrame:
+    """(config_id, key, cluster_id): labels of every configuration of a grid.
+
+    All configurations of one alpha, number of neighbours and number of components share the graph and the coordinates: they are one task.
+    A task holds all items, so more than ``most`` of them are an error (a run limits its questions first).
+    """
+    if items.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} items; take a sample first")
+    kind = dict(items.dtypes)[key]
+    shared = ["alpha", "n_neighbors", "n_components"]
+    configs = grid.groupBy(*shared).agg(F.sort_array(F.collect_list(F.struct("config_id", "min_cluster_size", "min_samples"))).alias("configs"))
+    rows = items.select(F.col(key).alias("id"), F.col(vector).alias("v"), F.coalesce(terms, F.array().cast("array<string>")).alias("t")).crossJoin(F.broadcast(configs))  # a grid has a few thousand rows at most
 
     def of(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         c = pdf.iloc[0]
-        labels = hdbscan(reduce(np.array(pdf["v"].tolist(), np.float64), int(c["n_components"])), int(c["min_cluster_size"]), int(c["min_samples"]))
-        return pd.DataFrame({"config_id": pdf["config_id"], "id": pdf["id"], "cluster_id": labels})
+        x = np.array(pdf["v"].tolist(), np.float64)
+        if len(x) > 2:
+            x = reduce(neighbour_graph(x, [list(t) for t in pdf["t"]], float(c["alpha"]), int(c["n_neighbors"])), len(x), int(c["n_components"]))
+        out = [pd.DataFrame({"config_id": k["config_id"], "id": pdf["id"], "cluster_id": hdbscan(x, int(k["min_cluster_size"]), int(k["min_samples"]))}) for k in c["configs"]]
+        return pd.concat(out)
 
-    return rows.groupBy("config_id").applyInPandas(of, f"config_id int, id {kind}, cluster_id long").withColumnRenamed("id", key)
+    return rows.groupBy(*shared).applyInPandas(of, f"config_id int, id {kind}, cluster_id long").withColumnRenamed("id", key)

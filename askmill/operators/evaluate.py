@@ -31,17 +31,17 @@ def scores(clusters: DataFrame, pairs: DataFrame, by: str) -> DataFrame:
     return both.withColumn("composite", composite(F.col("separation_mean"), F.col("coherence_mean"), F.col("outlier_rate"), F.col("merge_rate")))
 
 
-def sized_pairs(ids: list[int], sizes: list[int], n: int, seed: int = 42) -> list[tuple[int, int]]:
-    """n pairs of clusters drawn by size, with replacement; a cluster drawn twice is paired with the next one."""
-    if len(ids) < 2 or sum(sizes) <= 0:
+def sized_pairs(ids: list[int], sizes: list[int], most: int = 50, seed: int = 42) -> list[tuple[int, int]]:
+    """Half as many pairs as clusters, ``most`` at most: first all left ones, then all right ones, drawn by size with replacement (evenly if
+    all sizes are 0); a cluster drawn with itself is paired with the next one."""
+    n = min(most, len(ids) // 2)
+    if not n:
         return []
-    rng = np.random.default_rng(seed)
-    p = np.array(sizes, float) / sum(sizes)
-    out = []
-    for _ in range(n):
-        a, b = rng.choice(len(ids), 2, p=p)
-        out.append((ids[a], ids[b if a != b else (b + 1) % len(ids)]))
-    return out
+    rng, all_ = np.random.default_rng(seed), sum(sizes)
+    p = np.array(sizes, float) / all_ if all_ > 0 else None
+    left, right = (rng.choice(len(ids), size=n, replace=True, p=p) for _ in range(2))
+    right = np.where(left == right, (right + 1) % len(ids), right)
+    return [(ids[a], ids[b]) for a, b in zip(left, right)]
 
 
 def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: str = "cluster_id", whole: DataFrame | None = None, most_merges: int = 30) -> DataFrame:
@@ -61,7 +61,7 @@ def evaluate(members: DataFrame, judge: Judge, most_pairs: int = 50, cluster: st
     odd = odd.select(cluster, (replies.outlier(F.col("reply"), F.size("qs")) >= 0).cast("double").alias("outlier"))
     clusters = lists.join(coherent, cluster, "left").join(odd, cluster, "left").withColumn("k", F.lit(1))
     known = [(r[0], r[1]) for r in lists.select(cluster, "weight").orderBy(cluster).collect()]
-    drawn = sized_pairs([k for k, _ in known], [int(v) for _, v in known], min(most_pairs, len(known)))
+    drawn = sized_pairs([k for k, _ in known], [int(v) for _, v in known], most_pairs)
     chosen = spark.createDataFrame([(a, b) for a, b in drawn] or [(-1, -1)], f"a {dict(lists.dtypes)[cluster]}, b {dict(lists.dtypes)[cluster]}")
     pairs = chosen.join(lists.select(F.col(cluster).alias("a"), F.col("qs").alias("qa")), "a").join(lists.select(F.col(cluster).alias("b"), F.col("qs").alias("qb")), "b")
     apart = judged(pairs.withColumn("prompt", replies.ask_separation(F.col("qa"), F.col("qb"))), "prompt", judge)

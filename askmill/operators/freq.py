@@ -47,8 +47,8 @@ def duplicates(faq: DataFrame, question: str = "representative_question", freq:
 
 
 def sample(freq: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly n texts (all if there are fewer), chosen by a hash of text and seed."""
-    return freq.orderBy(F.xxhash64("query_text", F.lit(seed)), "query_text").limit(n)
+    """Exactly n texts (all if there are fewer), chosen by the MD5 of text and seed."""
+    return freq.orderBy(F.md5(F.concat("query_text", F.lit(str(seed)))), "query_text").limit(n)
 
 
 def most_frequent(freq: DataFrame, n: int) -> DataFrame:

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_folder(spark: SparkSession) -> None:
-    """Use the folder in spark.checkpoint.dir; set a local one only where that is unset (tests)."""
+    """Use the folder in spark.checkpoint.dir. Where that is unset, set a local one if Spark itself is local (tests); on a cluster it is an error,
+    as no other executor could read it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "askmill-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "askmill-checkpoints"))
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.replies import json_list, label_cut
+from ..functions.replies import ask_same, json_list, label_cut
 from ..functions.vectors import unit
 from .models import Judge
 from .rank import first_per_group
@@ -15,26 +15,28 @@ from .repair import greedy_merges
 from .similarity import similar_pairs
 
 
-def parse_groups(replies: DataFrame, key: str = "cluster_id") -> DataFrame:
+def parse_groups(replies: DataFrame, key: str = "cluster_id", repeats: bool = False) -> DataFrame:
     """(key, group_no, answer_label, idx) of replies (key, raw, n): each index from 0 to n - 1 in one group.
 
     The first group that claims an index has it; what is no index is left out; missed indices are groups of their own, '(unclassified)',
-    after the others. A broken reply leaves all of them.
+    after the others. A broken reply leaves all of them. With ``repeats`` an index that a group names twice is in it twice.
     """
     all_ = replies.select(key, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("idx")).where("idx >= 0")
     g = replies.select(key, "n", F.posexplode(F.coalesce(json_list(F.col("raw")), F.expr("cast(array() as array<struct<group:string,label:string,indices:array<string>>>)"))).alias("g", "x"))
     i = g.select(key, "n", "g", F.col("x.label").alias("label"), F.posexplode(F.coalesce("x.indices", F.expr("cast(array() as array<string>)"))).alias("p", "i"))
     i = i.withColumn("idx", F.col("i").try_cast("int") - 1).where("idx >= 0 and idx < n")
     claimed = first_per_group(i.select(key, "idx", "g", "p", "label"), [key, "idx"], [F.col("g"), F.col("p")])
+    if repeats:
+        claimed = i.join(claimed.select(key, "idx", "g"), [key, "idx", "g"], "left_semi")
     named = claimed.select(key, F.col("g").alias("_g"), label_cut(F.col("label")).alias("answer_label"), "idx")
-    lone = all_.join(claimed.select(key, "idx"), [key, "idx"], "left_anti").select(key, (F.col("idx") + 1_000_000).alias("_g"), F.lit("(unclassified)").alias("answer_label"), "idx")
+    lone = all_.join(claimed.select(key, "idx").distinct(), [key, "idx"], "left_anti").select(key, (F.col("idx") + 1_000_000).alias("_g"), F.lit("(unclassified)").alias("answer_label"), "idx")
     out = named.unionByName(lone)
     return out.withColumn("group_no", F.dense_rank().over(Window.partitionBy(key).orderBy("_g"))).drop("_g").select(key, "group_no", "answer_label", "idx")
 
 
 def split_groups(replies: DataFrame, key: str = "cluster_id") -> DataFrame:
     """The same for splits: missed indices join the largest group (the first on a tie); a broken reply is one group."""
-    g = parse_groups(replies, key)
+    g = parse_groups(replies, key, repeats=True)
     sizes = g.where("answer_label <> '(unclassified)'").groupBy(key, "group_no", "answer_label").agg(F.count(F.lit(1)).alias("_n"))
     big = first_per_group(sizes, [key], [-F.col("_n"), F.col("group_no")]).select(key, F.col("group_no").alias("_b"), F.col("answer_label").alias("_l"))
     j = g.join(big, key, "left")
@@ -108,7 +110,7 @@ def merge_chunk_groups(groups: DataFrame, cluster: str, vector: str, threshold:
         def same(i: int, j: int) -> bool:
             if judge is None:
                 return True
-            reply = judge.reply([f"Crop: {crop}.\nFirst question: {pdf[text].iloc[i]}\nSecond question: {pdf[text].iloc[j]}\nDo both need the same advice? A) yes B) no\nReply with A or B:"])[0]
+            reply = judge.reply([ask_same(crop, pdf[text].iloc[i], pdf[text].iloc[j])])[0]
             return next((c for c in (reply or "").upper() if c in "ABC"), "B") == "A"
 
         for k, mine in enumerate(merge_groups(np.array(pdf[vector].tolist(), np.float64), threshold, same), 1):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import replies
+from ..functions.text import clean, tokens
 from ..operators import cluster, corpus, density, evaluate, freq, qa, repair, similarity, unique
 from ..operators.models import Echo, Embedder, Generator, HashedWords, Judge, SameLetter, embedded, judged
 from ..operators.rank import first_per_group
@@ -43,7 +44,8 @@ class Pipeline:
     def screen(self) -> DataFrame:
         """All configurations of the grid: labels and metrics; the viable ones are candidates."""
         f, grid = self.stages.read("frequency"), cluster.param_grid(self.spark, self.s.grid_mode)
-        labels = density.grid_labels(f, grid, "query_text", "embedding").join(f.select("query_text", "count"), "query_text")
+        terms = f.withColumn("terms", F.array_distinct(tokens(clean("query_text"))))
+        labels = density.grid_labels(terms, grid, "query_text", "embedding", "terms", max(self.s.max_queries, 1)).join(f.select("query_text", "count"), "query_text")
         labels = self.stages.write("labels", labels)
         m = cluster.metrics(labels, ["config_id"]).join(grid, "config_id")
         return self.stages.write("candidates", m.withColumn("reason", cluster.viability(F.col("n_clusters"), F.col("noise_ratio"), F.col("clusters_for_85pct"))))
@@ -62,7 +64,8 @@ class Pipeline:
         out = scores[0]
         for x in scores[1:]:
             out = out.unionByName(x)
-        return self.stages.write("scores", out).orderBy(F.desc("composite"), "config_id").first()["config_id"]
+        best = self.stages.write("scores", out).orderBy(F.desc("composite"), "config_id").first()
+        return best["config_id"] if best else rows[0]["config_id"]  # nothing could be judged: all is noise
 
     def _ordered(self, members: DataFrame, by: list[str], order: list) -> DataFrame:
         """One row per ``by``: qs, the questions in order, and n, their number."""
@@ -79,10 +82,10 @@ class Pipeline:
     def _splits(self, members: DataFrame, reps: DataFrame) -> DataFrame:
         """(cluster_id, group_no, answer_label, question) of the clusters whose representatives the judge finds to differ."""
         shown = self._ordered(reps, ["cluster_id"], [F.col("position")]).where("n >= 2")
-        rated = judged(shown.withColumn("prompt", replies.ask_coherence(F.col("qs"))), "prompt", self.judge)
+        rated = judged(shown.withColumn("prompt", replies.ask_range(self.s.crop, F.col("qs"))), "prompt", self.judge)
         rated = rated.where(replies.letter(F.col("reply"), "A") == self.s.coherence_flag).select("cluster_id", F.col("qs")[0].alias("topic"))
         lists = self._ordered(members, ["cluster_id"], [-F.col("count")]).join(rated, "cluster_id")
-        asked = judged(lists.withColumn("prompt", replies.ask_groups(F.col("qs"), F.col("topic"), self.s.crop)), "prompt", self.judge)
+        asked = judged(lists.withColumn("prompt", replies.ask_split(F.col("qs"), F.col("topic"), self.s.crop)), "prompt", self.judge)
         asked = self.stages.write("split_replies", asked.select("cluster_id", "qs", "n", F.col("reply").alias("raw")))
         return unique.split_groups(asked).join(asked.select("cluster_id", "qs"), "cluster_id").select("cluster_id", "group_no", "answer_label", F.expr("get(qs, idx)").alias("question"))
 
@@ -108,7 +111,7 @@ class Pipeline:
         centres = first.join(members.select("cluster_id", F.col("question").alias("representative"), "embedding"), ["cluster_id", "representative"])
         pairs = similarity.merge_candidates(centres, "cluster_id", "embedding", self.s.merge_sim)
         both = pairs.join(first.select(F.col("cluster_id").alias("a"), F.col("representative").alias("ra")), "a").join(first.select(F.col("cluster_id").alias("b"), F.col("representative").alias("rb")), "b")
-        pairs = self.stages.write("merge_pairs", judged(both.withColumn("prompt", replies.ask_merge(F.array("ra"), F.array("rb"))), "prompt", self.judge))
+        pairs = self.stages.write("merge_pairs", judged(both.withColumn("prompt", replies.ask_join(self.s.crop, F.col("ra"), F.col("rb"))), "prompt", self.judge))
         yes = {(r["a"], r["b"]) for r in pairs.where(replies.letter(F.col("reply"), "B") == "A").select("a", "b").collect()}  # a hundred pairs at most
         merged = repair.merge(members, pairs, lambda a, b: (a, b) in yes)
         out = merged.join(first, "cluster_id", "left").join(named, "cluster_id", "left")
@@ -151,11 +154,20 @@ class Pipeline:
     def answers(self) -> DataFrame:
         return self.stages.write("faq_qa", qa.answers(self.stages.read("faq"), self.s.crop, self.generator))
 
-    def run(self, log: DataFrame, terms: DataFrame) -> DataFrame:
-        self.frequency(log)
-        self.screen()
-        self.repair(self.choose())
-        rows = repair.back_map(freq.of_crop(log, self.s.crop), self.stages.read("members"))
-        self.stages.write("row_mapping", rows)
-        self.faq(terms)
-        return self.answers()
+    def run(self, log: DataFrame, terms: DataFrame, resume: bool = False) -> DataFrame:
+        """All stages; with ``resume`` those whose last table is there are left as they are."""
+
+        def todo(table: str) -> bool:
+            return not (resume and self.stages.exists(table))
+
+        if todo("frequency"):
+            self.frequency(log)
+        if todo("candidates"):
+            self.screen()
+        if todo("members"):
+            self.repair(self.choose())
+        if todo("row_mapping"):
+            self.stages.write("row_mapping", repair.back_map(freq.of_crop(log, self.s.crop), self.stages.read("members")))
+        if todo("faq"):
+            self.faq(terms)
+        return self.answers() if todo("faq_qa") else self.stages.read("faq_qa")

@@ -134,8 +134,32 @@ def test_scores(spark):
     p = spark.createDataFrame([(1, 0.6, 0.0)], "k int, separation double, merge double")
     s = evaluate.scores(c, p, "k").first()
     assert round(s["coherence_mean"], 6) == 0.83 and round(s["composite"], 6) == round(0.45 * 0.6 + 0.3 * 0.83 + 0.25, 6)
-    pairs = evaluate.sized_pairs([4, 5, 6], [10, 1, 1], 20)
-    assert len(pairs) == 20 and all(a != b for a, b in pairs)
+    pairs = evaluate.sized_pairs(list(range(10, 21)), [10] + [1] * 10)
+    assert len(pairs) == 5 and all(a != b for a, b in pairs)  # half as many as clusters
+    assert len(evaluate.sized_pairs(list(range(300)), [0] * 300)) == 50 and evaluate.sized_pairs([1], [5]) == []
+    rng = np.random.default_rng(42)  # two vectors, one after the other
+    p = np.array([10] + [1] * 10) / 20
+    a, b = rng.choice(11, 5, p=p), rng.choice(11, 5, p=p)
+    assert pairs == [(10 + i, 10 + (j if i != j else (j + 1) % 11)) for i, j in zip(a.tolist(), b.tolist())]
+
+
+def test_viability_and_strata(spark, rows):
+    n = spark.createDataFrame([(60, 0.31, 9), (60, 0.3, 4), (60, 0.3, 5)], "n int, noise double, c int")
+    assert [r[0] for r in n.select(cluster.viability(F.col("n"), F.col("noise"), F.col("c"))).collect()] == ["High noise ratio", "Poor coverage efficiency", "Viable"]
+    grid = cluster.param_grid(spark, "medium").withColumns({"coverage_efficiency": F.col("config_id") / 108, "clusters_for_85pct": F.lit(10), "noise_ratio": F.lit(0.1)})
+    got = {r["stratum"]: set() for r in cluster.strata(grid).collect()}
+    for r in cluster.strata(grid).collect():
+        got[r["stratum"]].add(r["config_id"])
+    assert got["top"] == set(range(100, 108)) and got["bottom"] == {0} and len(got["middle"]) == 4 and len(got["diverse"]) == 2
+    assert got["middle"] == {107 - i for i in range(54 - 16, 54 + 16, 8)}
+    assert cluster.strata(grid.where("config_id < 3")).count() == 3 and cluster.strata(grid.where("false")).count() == 0
+
+
+def test_a_split_keeps_an_index_named_twice(spark, rows):
+    raw = '[{"group":1,"label":"p","indices":[1,1,2]},{"group":2,"label":"q","indices":[3,1]}]'
+    df = spark.createDataFrame([(1, raw, 4)], "cluster_id long, raw string, n int")
+    assert rows(unique.split_groups(df)) == [(1, 1, "p", 0), (1, 1, "p", 0), (1, 1, "p", 1), (1, 1, "p", 3), (1, 2, "q", 2)]
+    assert rows(unique.parse_groups(df)) == [(1, 1, "p", 0), (1, 1, "p", 1), (1, 2, "q", 2), (1, 3, "(unclassified)", 3)]
 
 
 def test_density():
@@ -147,6 +171,35 @@ def test_density():
     assert (density.hdbscan(np.zeros((20, 3)), 3, 2) >= -1).all() and (density.hdbscan(np.zeros((1, 3))) == -1).all()
 
 
+def test_grid_depends_on_alpha_and_neighbours(spark):
+    """Vectors tell two groups apart, terms two others: alpha decides which are found; the number of neighbours changes the coordinates."""
+    rng = np.random.default_rng(3)
+    n = 60
+    x = np.array([[1.0, 0.0] if k % 2 else [0.0, 1.0] for k in range(n)]) + rng.normal(0, 0.05, (n, 2))
+    terms = [["rust", f"r{k % 5}"] if k < n // 2 else ["borer", f"b{k % 5}"] for k in range(n)]
+    df = spark.createDataFrame([(k, x[k].tolist(), terms[k]) for k in range(n)], "id long, v array<double>, t array<string>")
+    grid = spark.createDataFrame([(0, 1.0, 5, 3, 8, 2), (1, 0.0, 5, 3, 8, 2), (2, 1.0, 5, 3, 25, 2)], "config_id int, alpha double, min_cluster_size int, min_samples int, n_neighbors int, n_components int")
+    got = {}
+    for r in density.grid_labels(df, grid, "id", "v", "t").collect():
+        got.setdefault(r["config_id"], {})[r["id"]] = r["cluster_id"]
+    assert all(len(v) == n for v in got.values())
+
+    def apart(labels, by):
+        """No cluster has members of both sides."""
+        return all(len({by(k) for k in labels if labels[k] == c}) == 1 for c in set(labels.values()) - {-1})
+
+    assert apart(got[0], lambda k: k % 2) and apart(got[1], lambda k: k < n // 2) and not apart(got[0], lambda k: k < n // 2)
+    graphs = [density.neighbour_graph(x, terms, 0.5, k) for k in (8, 25)]
+    assert all((np.bincount(g[0]) == k).all() for g, k in zip(graphs, (8, 25)))
+    assert not np.allclose(density.reduce(graphs[0], n, 2), density.reduce(graphs[1], n, 2))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    i, j, d = (z[11] for z in graphs[0])
+    a, b = set(terms[i]), set(terms[j])
+    assert d == pytest.approx(0.5 * (1 - u[i] @ u[j]) + 0.5 * (1 - len(a & b) / len(a | b)))
+    with pytest.raises(ValueError):
+        density.grid_labels(df, grid, "id", "v", "t", most=10)
+
+
 def test_pipeline(spark, tmp_path):
     texts = ["rust on wheat leaf", "rust of wheat leaf", "wheat leaf rust", "termite in wheat roots", "termites in wheat roots", "wheat roots termite", "market rate"]
     log = spark.createDataFrame([(k, "Wheat", t) for k, t in enumerate(texts * 3)], "raw_row_id long, crop string, query_text string")
@@ -156,6 +209,9 @@ def test_pipeline(spark, tmp_path):
     assert out.count() == p.stages.read("faq").count() >= 2
     assert "market rate" in {r["representative_question"] for r in p.stages.read("filtered_out").collect()}
     assert p.stages.read("row_mapping").count() == len(texts) * 3
+    again = Pipeline(spark, str(tmp_path / "run"), Settings("Wheat"), judge=None)
+    again.frequency = again.screen = again.faq = None  # with resume no stage is run again
+    assert again.run(log, terms, resume=True).count() == out.count()
 
 
 def test_judge_sees_all_distinct_questions(spark):
@@ -191,11 +247,13 @@ def scripted():
             lines = [x.strip() for x in p.split("\n") if x.strip()[:1].isdigit()]
             if "another crop" in p:
                 return '{"off": [%s]}' % ", ".join(x.split(".")[0] for x in lines if "paddy" in x)
-            if "into one group" in p:
+            if "into one group" in p:  # grouping and splitting
                 parts = [[x.split(".")[0] for x in lines if w in x] for w in ("rust", "termite")]
                 return "[%s]" % ", ".join('{"group": %d, "label": "%s", "indices": [%s]}' % (k, ("spray", "drench")[k], ", ".join(i)) for k, i in enumerate(parts) if i)
-            if "same topic" in p or "one and the same" in p:
+            if "one and the same" in p:
                 return "C" if "rust" in p and "termite" in p else "A"
+            if "become one" in p:
+                return "B"
             return "A" if "same advice" in p else "B"
 
     return Scripted()  # a local class is sent to the workers by value
