@@ -145,8 +145,9 @@ def neighbour_graph(x: np.ndarray, terms: list[list[str]], alpha: float, k: int,
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
 
 
-def reduce(graph: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, components: int, rounds: int = 60) -> np.ndarray:
-    """Coordinates from a neighbour graph: the smoothest vectors on it (Laplacian eigenmaps, by subspace iteration).
+def reduce(graph: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, components: int, rounds: int = 60, steps: int = 4) -> np.ndarray:
+    """Coordinates from a neighbour graph: the smoothest vectors on it, less smooth ones shrunk (a diffusion map of ``steps`` steps, by
+    subspace iteration).
 
     Weights fall with the distance beyond the nearest neighbour, on the scale of each item's own neighbours, and are made symmetric as the
     probability that either end keeps the edge. A stand-in where no manifold reducer is at hand: it starts from the same kind of graph.
@@ -173,6 +174,8 @@ def reduce(graph: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, components:
             y[:, c] += np.bincount(i, s * v[j, c], n) + np.bincount(j, s * v[i, c], n)
         v = y
     v = np.linalg.qr(v - np.outer(flat, flat @ v))[0]
+    value = np.array([2 * (s * v[i, c] * v[j, c]).sum() for c in range(m)])  # how smooth each vector is, 1 at most
+    v = v * np.maximum(value, 0) ** steps
     v = v * np.where(v[np.abs(v).argmax(0), np.arange(m)] < 0, -1.0, 1.0)  # one sign at any platform
     return np.round(v * np.sqrt(n) / np.sqrt(degree / degree.mean())[:, None], 9)
 

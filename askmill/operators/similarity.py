@@ -67,7 +67,7 @@ def nearest(points: DataFrame, targets: DataFrame, key: str, vector: str, label:
     def of(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf[~pdf["is_target"]], pdf[pdf["is_target"]].sort_values("id")
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "nearest_id": [], "l": [], "distance": []})
+            return pd.DataFrame({"id": a["id"].head(0), "nearest_id": b["id"].head(0), "l": b["l"].head(0), "distance": np.zeros(0)})
         x, y = np.array(a["v"].tolist(), np.float64), np.array(b["v"].tolist(), np.float64)
         d = np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T, 0)
         k = np.round(d, 12).argmin(1)
