@@ -93,8 +93,8 @@ def faq_slice(spark: SparkSession, d: str) -> DataFrame:
     once = freq.dedup(f, "query_text", "count", "query_text").withColumnRenamed("query_text", "representative_question")
     kept, _ = corpus.filtered(once, _terms(spark, d))
     kept = kept.withColumnRenamed("representative_question", "query_text")
-    total = kept.agg(F.sum("count").alias("_total"))
-    out = freq.ranked(kept, "count", "query_text").crossJoin(F.broadcast(total))  # one row
+    ranked = freq.ranked(kept, "count", "query_text")  # on a checkpoint, from which the total is read as well
+    out = ranked.crossJoin(F.broadcast(ranked.agg(F.sum("count").alias("_total"))))  # one row
     return out.select("query_text", "count", "rank", F.round(F.col("count") * 100.0 / F.col("_total"), 2).alias("pct"))
 
 
@@ -135,7 +135,9 @@ def row_numbers(spark, d):
 
 @query(f"select query_text, cleaned from (select distinct query_text, {_clean('query_text')} as cleaned from raw_log) where cleaned <> ''")
 def text_clean(spark, d):
-    return _t(spark, d, "raw_log").select("query_text").distinct().withColumn("cleaned", text.clean("query_text")).where("cleaned <> ''")
+    """Each distinct text is cleaned once: the condition names the count, so it cannot be pushed below the aggregation to all rows."""
+    f = _t(spark, d, "raw_log").groupBy("query_text").count().withColumn("cleaned", text.clean("query_text"))
+    return f.where(F.when(F.col("count") > 0, F.col("cleaned")) != "").select("query_text", "cleaned")
 
 
 # --- duplicates, ranks, samples ----------------------------------------------------------------------------------------------------
@@ -163,7 +165,7 @@ def most_frequent(spark, d):
     return freq.most_frequent(freq.frequency(_t(spark, d, "raw_log")), 20_000)
 
 
-@query()
+@query("select query_text, count(*)::bigint as count from raw_log where query_text is not null group by 1 order by md5(query_text || '42'), 1 limit 2000")
 def sampled(spark, d):
     """A sampling operator: exactly 2,000 texts by hash."""
     return freq.sample(freq.frequency(_t(spark, d, "raw_log")), 2_000)
@@ -324,68 +326,99 @@ def param_grid(spark, d):
     return cluster.param_grid(spark, "exhaustive")
 
 
-#: Made-up metrics of the configurations, so that rules and selections have something to work on.
-def _candidates(spark, mode="exhaustive"):
-    g = cluster.param_grid(spark, mode)
-    n = (F.col("config_id") * 37 % 1200).cast("long")
-    return g.withColumns({"n_clusters": n, "noise_ratio": (F.col("config_id") * 13 % 50).cast("double") / 100, "clusters_for_85pct": (F.col("config_id") * 7 % 400).cast("long"), "coverage_efficiency": (F.col("config_id") * 29 % 997).cast("double") / 997})
+def _candidates(spark, d):
+    """Metrics of real clusterings, one for each centre: its log rows by the clusters of their questions (-1 where they have none), with
+    the parameters of the configuration that has the centre's place in the grid."""
+    one = _t(spark, d, "cluster_questions").where("question is not null").groupBy(F.col("question").alias("query_text")).agg(F.min("cluster_id").alias("cluster_id"))
+    asked = _t(spark, d, "raw_log").where("centre_id is not null and query_text is not null").groupBy("centre_id", "query_text").count()
+    m = cluster.metrics(asked.join(one, "query_text", "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1))), ["centre_id"])
+    placed = m.withColumn("config_id", (F.row_number().over(Window.orderBy("centre_id")) - 1).cast("int"))  # as many rows as centres
+    return placed.join(cluster.param_grid(spark, "exhaustive"), "config_id").drop("centre_id", "median_cluster_size", "mean_cluster_size")
+
+
+_CAND = f"""{_grid_sql('exhaustive')}, one as (select question, min(cluster_id) as cluster_id from cluster_questions where question is not null group by 1),
+    asked as (select centre_id, query_text, count(*) as c from raw_log where centre_id is not null and query_text is not null group by 1, 2),
+    sized as (select centre_id, coalesce(cluster_id, -1) as cluster_id, sum(c) as size, count(*) as q from asked left join one on query_text = question group by 1, 2),
+    run as (select *, sum(case when cluster_id <> -1 then size end) over (partition by centre_id order by (cluster_id = -1), size desc, cluster_id rows between unbounded preceding and current row) as run, sum(case when cluster_id <> -1 then size else 0 end) over (partition by centre_id) as total from sized),
+    met as (select centre_id, count_if(cluster_id <> -1)::bigint as n_clusters, round(sum(case when cluster_id = -1 then q else 0 end) / sum(q)::double, 6) as noise_ratio, least(count_if(cluster_id <> -1 and run < 0.85::double * total) + 1, count_if(cluster_id <> -1))::bigint as clusters_for_85pct from run group by 1),
+    cand as (select grid.*, n_clusters, noise_ratio, clusters_for_85pct, round(coalesce(clusters_for_85pct / nullif(n_clusters, 0)::double, 0), 6) as coverage_efficiency
+        from (select *, (row_number() over (order by centre_id) - 1)::int as config_id from met) join grid using (config_id))"""
 
 
-_CAND = f"{_grid_sql('exhaustive')}, cand as (select *, (config_id * 37 % 1200)::bigint as n_clusters, (config_id * 13 % 50)::double / 100 as noise_ratio, (config_id * 7 % 400)::bigint as clusters_for_85pct, (config_id * 29 % 997)::double / 997 as coverage_efficiency from grid)"
+@query(f"with {_CAND} select config_id, config, n_clusters, noise_ratio, clusters_for_85pct, coverage_efficiency from cand")
+def candidate_metrics(spark, d):
+    return _candidates(spark, d).select("config_id", "config", "n_clusters", "noise_ratio", "clusters_for_85pct", "coverage_efficiency")
 
 
-@query(f"""with {_CAND} select config_id, case when n_clusters < 50 then 'Too few clusters' when n_clusters > 1000 then 'Too many clusters' when noise_ratio > 0.3 then 'Too much noise'
-    when clusters_for_85pct < 5 then 'Too concentrated' else 'Viable' end as reason from cand""")
+@query(f"""with {_CAND} select config_id, case when n_clusters < 50 then 'Too few clusters' when n_clusters > 1000 then 'Too many clusters' when noise_ratio > 0.3 then 'High noise ratio'
+    when clusters_for_85pct < 5 then 'Poor coverage efficiency' else 'Viable' end as reason from cand""")
 def viability(spark, d):
-    return _candidates(spark).select("config_id", cluster.viability(F.col("n_clusters"), F.col("noise_ratio"), F.col("clusters_for_85pct")).alias("reason"))
+    return _candidates(spark, d).select("config_id", cluster.viability(F.col("n_clusters"), F.col("noise_ratio"), F.col("clusters_for_85pct")).alias("reason"))
 
 
 @query(f"with {_CAND} select config_id, coverage_efficiency from cand order by coverage_efficiency, config_id limit 5")
 def phase2_topk(spark, d):
-    return cluster.select_top(_candidates(spark), 5).select("config_id", "coverage_efficiency")
+    return cluster.select_top(_candidates(spark, d), 5).select("config_id", "coverage_efficiency")
 
 
 @query(f"with {_CAND} select config_id from cand order by coverage_efficiency, config_id limit 1")
 def best_config(spark, d):
-    return cluster.best(_candidates(spark)).select("config_id")
+    return cluster.best(_candidates(spark, d)).select("config_id")
 
 
 @query(f"with {_CAND} select config, min(config_id)::int as config_id from cand group by 1")
 def config_lookup(spark, d):
-    return _candidates(spark).groupBy("config").agg(F.min("config_id").alias("config_id"))
+    return _candidates(spark, d).groupBy("config").agg(F.min("config_id").alias("config_id"))
 
 
 @query(f"with {_CAND} select config_id, round((coverage_efficiency - min(coverage_efficiency) over ()) / (max(coverage_efficiency) over () - min(coverage_efficiency) over () + 1e-9), 6) as scaled from cand")
 def min_max(spark, d):
-    return _candidates(spark).select("config_id", F.round(cluster.min_max("coverage_efficiency"), 6).alias("scaled"))
+    return _candidates(spark, d).select("config_id", F.round(cluster.min_max("coverage_efficiency"), 6).alias("scaled"))
 
 
 @query(f"with {_CAND} select config_id from (select config_id, (row_number() over (order by config_id) - 1) // ceil(count(*) over () / 3.0)::bigint + 1 as p from cand) where p = 2")
 def config_shard(spark, d):
-    return cluster.shard(_candidates(spark), 2, 3).select("config_id")
+    return cluster.shard(_candidates(spark, d), 2, 3).select("config_id")
 
 
-@query()
+def _scaled(c: str) -> str:
+    return f"({c} - min({c}) over ()) / (max({c}) over () - min({c}) over () + 1e-9)"
+
+
+_FAR = "list_min([round(sqrt((t.x - f.x) ** 2 + (t.y - f.y) ** 2), 9) for t in (select list({{'x': x, 'y': y}}) from {0} where stratum is not null)])"
+
+
+@query(f"""with {_CAND}, s as (select *, round({_scaled('coverage_efficiency')} - 0.5 * {_scaled('clusters_for_85pct')} - 0.3 * {_scaled('noise_ratio')}, 9) as phase1_score from cand),
+    o as (select * from (select *, row_number() over (partition by config order by phase1_score desc, config_id) as r from s) where r = 1),
+    i as (select *, row_number() over (order by phase1_score desc, config_id) - 1 as i, count(*) over () as n, {_scaled('alpha')} as x, {_scaled('n_components')} as y from o),
+    e as (select *, case when i < 8 then 'top' when i >= n - 1 then 'bottom' end as ends from i), nr as (select *, ends is null and i >= n // 2 - 16 and i < n // 2 + 16 as near from e),
+    p as (select *, row_number() over (partition by near order by i) - 1 as p, count(*) over (partition by near) as k from nr),
+    z as (select *, case when near and (k < 4 or (p % greatest(1, k // 4) = 0 and p < 4 * greatest(1, k // 4))) then 'middle' else ends end as stratum from p),
+    d1 as (select i from z f where stratum is null order by {_FAR.format('z')} desc, i limit 1), z1 as (select * replace (case when i in (select i from d1) then 'diverse' else stratum end as stratum) from z),
+    d2 as (select i from z1 f where stratum is null order by {_FAR.format('z1')} desc, i limit 1), z2 as (select * replace (case when i in (select i from d2) then 'diverse' else stratum end as stratum) from z1)
+    select config_id, config, phase1_score, stratum from z2 where stratum is not null""")
 def stratified(spark, d):
-    return cluster.strata(_candidates(spark)).select("config_id", "config", "phase1_score", "stratum")
+    return cluster.strata(_candidates(spark, d)).select("config_id", "config", "phase1_score", "stratum")
 
 
 @query(f"with {_CAND} select config_id, composite from (select config_id, round(0.45 * coverage_efficiency + 0.30 * (1 - noise_ratio) + 0.25 * (1 - noise_ratio) - 0.20 * (clusters_for_85pct / 400.0::double), 6) as composite from cand) union all select -1, 0.66")
 def composite_score(spark, d):
-    c = _candidates(spark)
+    c = _candidates(spark, d)
     s = evaluate.composite(F.col("coverage_efficiency"), 1 - F.col("noise_ratio"), F.col("noise_ratio"), F.col("clusters_for_85pct") / 400)
     fixed = spark.createDataFrame([(-1, 0.6, 0.7, 0.2, 0.1)], "config_id int, s double, c double, o double, m double").select("config_id", F.round(evaluate.composite(F.col("s"), F.col("c"), F.col("o"), F.col("m")), 6).alias("composite"))
     return c.select("config_id", F.round(s, 6).alias("composite")).unionByName(fixed)
 
 
-@query("""with c as (select cluster_id, pct_of_cluster_volume / 100 as coherence, (n_questions_in_group % 2)::double as outlier, raw_frequency as w, cluster_rank from unique_questions_freq where cluster_id is not null)
-    select cluster_id, round(case when sum(w) > 0 then sum(coherence * w) / sum(w) else avg(coherence) end, 6) as coherence_mean, round(stddev_pop(coherence), 6) as coherence_std, round(case when sum(w) > 0 then sum(outlier * w) / sum(w) else avg(outlier) end, 6) as outlier_rate,
-    round(0.30 * case when sum(w) > 0 then sum(coherence * w) / sum(w) else avg(coherence) end + 0.25 * (1 - case when sum(w) > 0 then sum(outlier * w) / sum(w) else avg(outlier) end), 6) as composite from c group by 1""")
+@query("""with c as (select cluster_id, pct_of_cluster_volume / 100 as coherence, (n_questions_in_group % 2)::double as outlier, raw_frequency as w, (raw_frequency % 3) / 2.0::double as separation, (raw_frequency % 2)::double as merge from unique_questions_freq where cluster_id is not null),
+    a as (select cluster_id, case when sum(w) > 0 then sum(coherence * w) / sum(w) else avg(coherence) end as coherence_mean, stddev_pop(coherence) as coherence_std, case when sum(w) > 0 then sum(outlier * w) / sum(w) else avg(outlier) end as outlier_rate, avg(separation) as separation_mean, stddev_pop(separation) as separation_std, avg(merge) as merge_rate from c group by 1)
+    select cluster_id, round(coherence_mean, 6) as coherence_mean, round(coherence_std, 6) as coherence_std, round(outlier_rate, 6) as outlier_rate, round(separation_mean, 6) as separation_mean, round(separation_std, 6) as separation_std, round(merge_rate, 6) as merge_rate,
+    round(0.45 * separation_mean + 0.30 * coherence_mean + 0.25 * (1 - outlier_rate) - 0.20 * merge_rate, 6) as composite from a""")
 def score_aggregation(spark, d):
-    c = _faq(spark, d).where("cluster_id is not null").select("cluster_id", (F.col("pct_of_cluster_volume") / 100).alias("coherence"), (F.col("n_questions_in_group") % 2).cast("double").alias("outlier"), F.col("raw_frequency").alias("weight"))
-    none = spark.createDataFrame([], "cluster_id long, separation double, merge double")
-    s = evaluate.scores(c, none, "cluster_id")
-    return s.select("cluster_id", *[F.round(x, 6).alias(x) for x in ("coherence_mean", "coherence_std", "outlier_rate", "composite")])
+    f = _faq(spark, d).where("cluster_id is not null")
+    c = f.select("cluster_id", (F.col("pct_of_cluster_volume") / 100).alias("coherence"), (F.col("n_questions_in_group") % 2).cast("double").alias("outlier"), F.col("raw_frequency").alias("weight"))
+    p = f.select("cluster_id", ((F.col("raw_frequency") % 3) / 2).alias("separation"), (F.col("raw_frequency") % 2).cast("double").alias("merge"))
+    s = evaluate.scores(c, p, "cluster_id")
+    return s.select("cluster_id", *[F.round(x, 6).alias(x) for x in ("coherence_mean", "coherence_std", "outlier_rate", "separation_mean", "separation_std", "merge_rate", "composite")])
 
 
 @query(f"""with {_BUILT}, l as (select cluster_id, query_text, case when c <= 1 then -1 else cluster_id end as k, c from members), o as (select query_text, row_number() over (order by query_text) as n from (select distinct query_text from l where k = -1 and c > 0))
@@ -493,22 +526,40 @@ def groups_per_cluster(spark, d):
     return unique.distribution(g)
 
 
-#: One reply per cluster, of four questions: two groups that share an index, an index out of range, one index missed.
-_REPLY = """'x [{{"group":1,"label":" p' || cluster_id || '","indices":[1,"2",9]}},{{"group":2,"label":"q","indices":[2,3]}}] y'""".replace("{{", "{").replace("}}", "}")
+def _replies(spark, d):
+    """For each cluster the reply that a judge would give who groups its questions (in order of their ids) by answer label: JSON amid other
+    words, indices partly as text, one out of range and the first question claimed by every group."""
+    p = F.row_number().over(Window.partitionBy("cluster_id").orderBy("unique_q_id"))
+    q = _faq(spark, d).where("cluster_id is not null").select("cluster_id", F.coalesce(text.strip("answer_label"), F.lit("none")).alias("label"), p.alias("i"))
+    g = q.groupBy("cluster_id", "label").agg(F.sort_array(F.collect_list("i")).alias("own"))
+    more = F.concat(F.transform("own", lambda i: F.when(i % 2 == 0, F.concat(F.lit('"'), i.cast("string"), F.lit('"'))).otherwise(i.cast("string"))), F.array(F.lit("1"), F.lit("999999")))
+    said = F.concat(F.lit('{"group": '), F.col("own")[0].cast("string"), F.lit(', "label": '), F.to_json(F.array("label")).substr(F.lit(2), F.length(F.to_json(F.array("label"))) - 2), F.lit(', "indices": ['), F.array_join(more, ", "), F.lit("]}"))
+    parts = g.select("cluster_id", F.col("own")[0].alias("at"), said.alias("s"), F.size("own").alias("k"))
+    rows = parts.groupBy("cluster_id").agg(F.sort_array(F.collect_list(F.struct("at", "s", "k"))).alias("x"), F.sum("k").cast("int").alias("n"))
+    return rows.select("cluster_id", "n", "x")
+
 
+def _reply(parts):
+    return F.concat(F.lit("Here you are: ["), F.array_join(F.transform(parts, lambda x: x["s"]), ", "), F.lit("] Done."))
 
-def _replies(spark, d):
-    return _t(spark, d, "repaired_clusters").select("cluster_id").distinct().select("cluster_id", F.expr(_REPLY).alias("raw"), F.lit(4).alias("n"))
+
+_ASKED = f"""q as (select cluster_id, coalesce({_strip('answer_label')}, 'none') as label, row_number() over (partition by cluster_id order by unique_q_id) as i from unique_questions_freq where cluster_id is not null),
+    g as (select *, min(i) over w as pos, count(*) over w as k from q window w as (partition by cluster_id, label))"""
 
 
-@query("select cluster_id, g::int as group_no, case g when 1 then 'p' || cluster_id when 2 then 'q' else '(unclassified)' end as answer_label, i::int as idx from (select distinct cluster_id from repaired_clusters), (values (1, 0), (1, 1), (2, 2), (3, 3)) v(g, i)")
+@query(f"with {_ASKED} select cluster_id, dense_rank() over (partition by cluster_id order by pos)::int as group_no, {_strip('left(label, 200)')} as answer_label, (i - 1)::int as idx from g")
 def parse_groups(spark, d):
-    return unique.parse_groups(_replies(spark, d))
+    r = _replies(spark, d)
+    return unique.parse_groups(r.select("cluster_id", _reply(F.col("x")).alias("raw"), "n"))
 
 
-@query("select cluster_id, g::int as group_no, case g when 1 then 'p' || cluster_id else 'q' end as answer_label, i::int as idx from (select distinct cluster_id from repaired_clusters), (values (1, 0), (1, 1), (2, 2), (1, 3)) v(g, i)")
+@query(f"""with {_ASKED}, h as (select *, case when k > 1 or pos = 1 then pos end as own from g), b as (select cluster_id, first(pos order by k desc, pos) as big, first(label order by k desc, pos) as big_label from (select distinct cluster_id, pos, label, k + (pos = 1)::int as k from g where k > 1 or pos = 1) group by 1),
+    r as (select cluster_id, coalesce(own, big) as pos, case when own is null then big_label else label end as label, i from h join b using (cluster_id))
+    select cluster_id, dense_rank() over (partition by cluster_id order by pos)::int as group_no, left({_strip('left(label, 200)')}, 100) as answer_label, (i - 1)::int as idx from r""")
 def split_groups(spark, d):
-    return unique.split_groups(_replies(spark, d))
+    """The same replies without the groups of one question (but the first): these questions join the largest group."""
+    r = _replies(spark, d).withColumn("x", F.filter("x", lambda x: (x["k"] > 1) | (x["at"] == 1)))
+    return unique.split_groups(r.select("cluster_id", _reply(F.col("x")).alias("raw"), "n")).distinct()
 
 
 @query("""select distinct query_text, case when regexp_extract(upper(query_text), '[ABC]') = '' then 'C' else regexp_extract(upper(query_text), '[ABC]') end as letter,
@@ -521,11 +572,12 @@ def reply_letters(spark, d):
     return t.select("query_text", k.alias("letter"), replies.score(k, replies.COHERENCE, 0.5).alias("coherence"), replies.score(k, replies.SEPARATION, 0.5).alias("separation"), replies.outlier(F.col("query_text"), F.lit(4)).alias("outlier"))
 
 
-@query(f"select distinct unique_q_id, {_strip('representative_question')} as question, {_strip('category')} as category, {_strip('answer')} as answer from unique_questions_freq_qa where category is not null and answer is not null and {_strip('answer')} not like '%```%' and not regexp_matches(answer, '(?i)(^|\\n)\\s*(\\*\\*)?(ANSWER|CATEGORY|QUESTION)') and not regexp_matches(representative_question, '\\n')")
+@query(f"""select distinct unique_q_id, {_strip("coalesce(representative_question, '')")} as question, {_strip("coalesce(category, 'none')")} as category, case when answer is null then 'CATEGORY: ' || coalesce(category, 'none') || chr(10) || 'QUESTION: ' || coalesce(representative_question, '') else {_strip('answer')} end as answer
+    from unique_questions_freq_qa""")
 def qa_parse(spark, d):
-    """Replies built from the stored parts and taken apart again (texts that are headings themselves left out)."""
-    t = _t(spark, d, "unique_questions_freq_qa").where("category is not null and answer is not null").where(~text.strip("answer").contains("```") & ~F.col("answer").rlike(r"(?i)(^|\n)\s*(\*\*)?(ANSWER|CATEGORY|QUESTION)") & ~F.col("representative_question").rlike(r"\n"))
-    raw = F.concat(F.lit("```text\nCATEGORY: "), "category", F.lit("\nQUESTION: "), "representative_question", F.lit("\nANSWER:\n"), "answer", F.lit("\n```"))
+    """Replies built from the stored parts of every row, in fences, and taken apart again; a null answer is a reply without that part."""
+    t = _t(spark, d, "unique_questions_freq_qa")
+    raw = F.concat(F.lit("```text\nCATEGORY: "), F.coalesce("category", F.lit("none")), F.lit("\nQUESTION: "), F.coalesce("representative_question", F.lit("")), F.coalesce(F.concat(F.lit("\n**ANSWER**:\n"), "answer"), F.lit("")), F.lit("\n```"))
     q, c, a = replies.qa_fields(raw)
     return t.select("unique_q_id", q.alias("question"), c.alias("category"), a.alias("answer")).distinct()
 
@@ -602,21 +654,23 @@ def diverse_reps(spark, d):
 @query()
 def greedy_merge(spark, d):
     e = _t(spark, d, "embeddings")
-    m = e.select(F.col("label").cast("long").alias("cluster_id"), F.col("vec_id").alias("question"), F.lit(1).alias("count"))
+    m = e.join(_t(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "n_chars"), "vec_id").select(F.col("label").cast("long").alias("cluster_id"), F.col("vec_id").alias("question"), F.col("n_chars").alias("count"))
     c = similarity.centroid_nearest(e, "vec_id", "embedding", "label").join(e.drop("label").withColumnRenamed("vec_id", "centre_id"), "centre_id").withColumn("label", F.col("label").cast("long"))
     return repair.merge(m, similarity.merge_candidates(c, "label", "embedding", -1.0, 5)).withColumn("merged_from", F.array_join("merged_from", ","))
 
 
 @query()
 def cross_cluster_merge(spark, d):
-    e = _t(spark, d, "embeddings").withColumn("freq", F.lit(1).cast("long"))
-    return unique.cross_cluster_dedup(e, "vec_id", "embedding", "label", "freq", 0.35).drop("embedding")
+    n = _t(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), F.col("n_chars").alias("freq"))
+    e = _t(spark, d, "embeddings").join(n, "vec_id").withColumn("n_questions_in_group", F.lit(1).cast("long"))
+    return unique.cross_cluster_dedup(e, "vec_id", "embedding", "label", "freq", 0.35, also=("n_questions_in_group",)).drop("embedding")
 
 
 @query()
 def hdbscan_labels(spark, d):
     grid = cluster.param_grid(spark, "quick")
-    return density.grid_labels(_t(spark, d, "embeddings"), grid, "vec_id", "embedding")
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), F.array_distinct(text.tokens("text")).alias("terms"))
+    return density.grid_labels(_t(spark, d, "embeddings").select("vec_id", "embedding").join(docs, "vec_id", "left"), grid, "vec_id", "embedding", "terms")
 
 
 @query()
