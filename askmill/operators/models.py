@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -82,3 +83,55 @@ def generated(df: DataFrame, system: str, prompt: str, generator: Generator, nam
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInPandas(of, f"{schema}, `{name}` string")
+
+
+class BatchService(Protocol):
+    """A hosted judge that takes many prompts at once and is asked for the outcome later."""
+
+    def submit(self, requests: list[tuple[str, str, int]]) -> str:
+        """Hand in (id, prompt, most tokens of the reply); the id of the batch."""
+
+    def ended(self, batch: str) -> bool: ...
+
+    def results(self, batch: str) -> list[tuple[str, str | None]]:
+        """(id, reply) in any order; the reply is null where a request failed."""
+
+
+class Deferred:
+    """A batch service around a judge, for tests: a batch has ended when it has been asked for ``polls`` times; prompts with ``fails`` in them fail."""
+
+    def __init__(self, judge: Judge, polls: int = 2, fails: str | None = None):
+        self.judge, self.polls, self.fails, self.batches = judge, polls, fails, {}
+
+    def submit(self, requests: list[tuple[str, str, int]]) -> str:
+        name = f"batch{len(self.batches)}"
+        self.batches[name] = [list(requests), self.polls]
+        return name
+
+    def ended(self, batch: str) -> bool:
+        self.batches[batch][1] -= 1
+        return self.batches[batch][1] <= 0
+
+    def results(self, batch: str) -> list[tuple[str, str | None]]:
+        return [(i, None if self.fails and self.fails in p else self.judge.reply([p])[0]) for i, p, _ in reversed(self.batches[batch][0])]
+
+
+def judged_in_batches(df: DataFrame, prompt: str, service: BatchService, budget: str | None = None, size: int = 10_000, wait: float = 30.0, name: str = "reply") -> DataFrame:
+    """Add the replies of a batch service: each task submits ``size`` prompts at a time, polls until the batch has ended and collects. The
+    reply of a failed request is null, which leaves its questions unclassified (``unique.parse_groups``). A prompt of one row is asked once
+    per row; stage the result, or a lost task asks again."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            replies: list[str | None] = [None] * len(pdf)
+            tokens = list(pdf[budget]) if budget else [4096] * len(pdf)
+            for at in range(0, len(pdf), size):
+                batch = service.submit([(str(k), pdf[prompt].iloc[k], int(tokens[k])) for k in range(at, min(at + size, len(pdf)))])
+                while not service.ended(batch):
+                    time.sleep(wait)
+                for k, reply in service.results(batch):
+                    replies[int(k)] = reply
+            yield pdf.assign(**{name: pd.Series(replies, index=pdf.index, dtype=object)})
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInPandas(of, f"{schema}, `{name}` string")

@@ -14,18 +14,21 @@ from ..functions.text import norm_key
 NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, quoted line breaks and doubled quotes; the usual marks of missing values become null."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header, quoted line breaks and doubled quotes; the usual marks of missing values become null.
+
+    With line breaks inside quotes a file cannot be split, so it is one task; without ``multi_line`` large files are read in parallel.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     df = (reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])) if schema else reader).csv(path)
     kinds = {f.name: f.dataType for f in schema} if schema else {}
     out = [F.when(~F.col(f"`{c}`").isin(*NULLS), F.col(f"`{c}`")).try_cast(kinds.get(c, T.StringType())).alias(c) for c in df.columns]
     return df.select(*out)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A raw log from CSV or Parquet, its question column named query_text."""
-    df = read_csv(spark, path) if path.rstrip("/").lower().endswith((".csv", ".csv.gz")) else spark.read.parquet(path)
+    df = read_csv(spark, path, multi_line=multi_line) if path.rstrip("/").lower().endswith((".csv", ".csv.gz")) else spark.read.parquet(path)
     return with_query_column(df)
 
 

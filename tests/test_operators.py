@@ -36,6 +36,7 @@ def test_corpus(spark, rows):
     terms = spark.createDataFrame([("market", False), ("contact no", True), ("ok", False)], "term string, is_phrase boolean")
     faq = spark.createDataFrame([(1, "Market?", None), (2, "markets", None), (3, "supermarket", None), (4, "contact northern office", None), (5, "ok then", None), (6, None, "the market"), (7, "", "")], "id int, representative_question string, cluster_label string")
     assert rows(corpus.mark(faq, terms), "id", "irrelevant") == [(1, True), (2, False), (3, False), (4, True), (5, False), (6, True), (7, False)]
+    assert rows(corpus.mark(faq, terms, inline=1), "id", "irrelevant") == rows(corpus.mark(faq, terms), "id", "irrelevant")  # by joins
     kept, removed = corpus.filtered(faq, terms)
     assert kept.count() + removed.count() == faq.count()
     assert [r[0] for r in rows(corpus.mark(faq, terms, threshold=85.0).where("irrelevant"), "id")] == [1, 2, 4, 6]
@@ -45,6 +46,18 @@ def test_corpus(spark, rows):
     assert got == [92.31, 92.31, 88.89, 85.71, 75.0]
 
 
+@pytest.mark.parametrize("threshold", [60.0, 80.0, 85.0, 95.0])
+def test_near_tokens_against_all_pairs(spark, threshold):
+    import random
+
+    r = random.Random(5)
+    words = ["market", "weather", "loan", "subsidy", "price"]
+    tokens = {w for x in words for w in (x, x[1:], x + "s", x[:2] + x[3:], x[:1] + "z" + x[1:], x[::-1])} | {"".join(r.choice("aeklmprst") for _ in range(r.randint(2, 9))) for _ in range(200)}
+    want = {t for t in tokens if len(t) >= 3 and any(abs(len(t) - len(w)) <= 2 and corpus.indel_ratio(t, w) >= threshold for w in words)}
+    df = spark.createDataFrame([(t,) for t in tokens], "token string")
+    assert {x["token"] for x in corpus.near_tokens(df, words, threshold).collect()} == want
+
+
 def test_tfidf(spark, rows):
     docs = spark.createDataFrame([(1, "leaf rust rust"), (2, "leaf spot"), (3, "rust spot x"), (4, None)], "id int, t string")
     v = tfidf.vocabulary(docs, "id", "t", min_df=2, max_df=1.0)
@@ -282,6 +295,18 @@ def test_models(spark):
     assert evaluate.evaluate(m, SameLetter("A")).first()["coherence_mean"] == 1.0
 
 
+def test_batches(spark, rows):
+    from askmill.operators.models import Deferred, judged_in_batches
+
+    df = spark.createDataFrame([(k, f"prompt {k}", 300) for k in range(7)], "cluster_id int, prompt string, budget int").coalesce(1)
+    service = Deferred(SameLetter('[{"group": 1, "label": "l", "indices": [1, 2]}]'), fails="prompt 3")
+    out = judged_in_batches(df, "prompt", service, "budget", size=3, wait=0.0)
+    assert {r["cluster_id"] for r in out.where("reply is null").collect()} == {3} and out.count() == 7
+    groups = unique.parse_groups(out.select("cluster_id", F.col("reply").alias("raw"), F.lit(2).alias("n")))
+    assert rows(groups.where("cluster_id = 3"), "idx", "answer_label") == [(0, "(unclassified)"), (1, "(unclassified)")]
+    assert {r[0] for r in rows(groups.where("cluster_id = 4"), "answer_label")} == {"l"}
+
+
 def test_stream(spark, tmp_path):
     import datetime as dt
 
