@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import unit
-from .rank import first_per_group
+from .rank import first_per_group, global_rank
 
 
 def pick_diverse(x: np.ndarray, k: int) -> list[int]:
@@ -64,8 +64,7 @@ def split(members: DataFrame, groups: DataFrame) -> DataFrame:
     fixed = fixed.withColumn("group_no", F.when(F.col("_small") | F.col("group_no").isNull(), F.col("_big")).otherwise(F.col("group_no"))).drop("_small", "_big")
     several = fixed.join(touched, "cluster_id", "left_semi").groupBy("cluster_id").agg(F.count_distinct("group_no").alias("_k")).where("_k > 1").select("cluster_id")
     top = members.agg(F.coalesce(F.max("cluster_id"), F.lit(-1)).alias("_top"))  # one row
-    # as many rows as groups of the clusters that are split
-    new = fixed.join(several, "cluster_id", "left_semi").select("cluster_id", "group_no").distinct().withColumn("_new", F.row_number().over(Window.orderBy("cluster_id", "group_no"))).crossJoin(F.broadcast(top)).select("cluster_id", "group_no", (F.col("_top") + F.col("_new")).alias("_id"))
+    new = global_rank(fixed.join(several, "cluster_id", "left_semi").select("cluster_id", "group_no").distinct(), [F.col("cluster_id").asc(), F.col("group_no").asc()], "_new").crossJoin(F.broadcast(top)).select("cluster_id", "group_no", (F.col("_top") + F.col("_new")).alias("_id"))
     out = fixed.join(new, ["cluster_id", "group_no"], "left")
     return out.withColumns({"parent_cluster": F.when(F.col("_id").isNotNull(), F.col("cluster_id")), "cluster_id": F.coalesce("_id", "cluster_id")}).drop("_id", "group_no")
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.replies import ask_same, json_list, label_cut
 from ..functions.vectors import unit
 from .models import Judge
-from .rank import first_per_group
-from .repair import greedy_merges
+from .rank import checkpoint_folder, first_per_group
 from .similarity import similar_pairs
 
 
@@ -52,25 +51,41 @@ def roll_up(members: DataFrame) -> DataFrame:
     return g.select("cluster_id", "group_no", F.col("_b.question").alias("representative_question"), "raw_frequency", "n_questions_in_group", F.coalesce(F.round(F.try_divide(F.col("raw_frequency") * 100, total), 2), F.lit(0.0)).alias("pct_of_cluster_volume"))
 
 
-def cross_cluster(pairs: list[tuple[int, int, float]], freq: dict[int, int]) -> dict[int, int]:
-    """dropped -> kept, by similarity; the higher frequency as it stands then is kept (the first on a tie)."""
-    return greedy_merges(pairs, freq)
+def cross_cluster(pairs: DataFrame, freq: DataFrame) -> DataFrame:
+    """(key, _to): what each dropped key is merged into, by pairs (a, b, similarity) and frequencies (key, freq).
 
+    Pairs count from the most similar one on (ties by ids); the key with the higher frequency as it stands then is kept (a on a tie), and
+    pairs of a key that is gone are skipped. A pair depends on earlier ones of its two keys only, so each round takes all pairs that come
+    before every other one of both their keys, and the outcome is that of the serial walk. Nothing of it goes to the driver but one
+    number a round.
+    """
+    ends = lambda e: e.select(F.col("a").alias("key"), "o").unionByName(e.select(F.col("b").alias("key"), "o"))
+    spark = pairs.sparkSession
+    checkpoint_folder(spark)
+    edges = pairs.select("a", "b", F.struct((-F.round("similarity", 9)).alias("s"), "a", "b").alias("o")).checkpoint()
+    now = freq.select("key", "freq").join(ends(edges).select("key").distinct(), "key", "left_semi").checkpoint()
+    parts: list[DataFrame] = []
+    while edges.limit(1).count():
+        first = ends(edges).groupBy("key").agg(F.min("o").alias("o"))
+        best = edges.join(first.select(F.col("key").alias("a"), "o"), ["a", "o"], "left_semi").join(first.select(F.col("key").alias("b"), "o"), ["b", "o"], "left_semi")
+        sized = best.join(now.select(F.col("key").alias("a"), F.col("freq").alias("fa")), "a").join(now.select(F.col("key").alias("b"), F.col("freq").alias("fb")), "b")
+        keep_a = F.coalesce(F.col("fa"), F.lit(0)) >= F.coalesce(F.col("fb"), F.lit(0))
+        moves = sized.select(F.when(keep_a, F.col("b")).otherwise(F.col("a")).alias("key"), F.when(keep_a, F.col("a")).otherwise(F.col("b")).alias("_to"), F.least("fa", "fb").alias("more")).checkpoint()
+        parts.append(moves.select("key", "_to"))
+        gone = moves.select("key")
+        now = now.join(gone, "key", "left_anti").join(moves.select(F.col("_to").alias("key"), "more"), "key", "left").select("key", (F.col("freq") + F.coalesce("more", F.lit(0))).alias("freq")).checkpoint()
+        # a pair that was taken has lost a key, so it goes as well
+        edges = edges.join(gone.withColumnRenamed("key", "a"), "a", "left_anti").join(gone.withColumnRenamed("key", "b"), "b", "left_anti").select("a", "b", "o").checkpoint()
+    out = freq.select("key", F.col("key").alias("_to")).where("false")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
 
-def cross_cluster_dedup(rows: DataFrame, key: str, vector: str, cluster: str, freq: str, threshold: float = 0.92, most: int = 1_000_000, also: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with the near-identical ones of other clusters merged: frequencies (and the columns ``also``) added up, merged_cross_cluster set.
 
-    The order of the merges matters, so they run over the list of pairs; more than ``most`` of them are an error, not cut off.
-    """
-    spark = rows.sparkSession
+def cross_cluster_dedup(rows: DataFrame, key: str, vector: str, cluster: str, freq: str, threshold: float = 0.92, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with the near-identical ones of other clusters merged: frequencies (and the columns ``also``) added up, merged_cross_cluster set."""
     pairs = similar_pairs(rows, key, vector, threshold, cluster)
-    found = [(r["a"], r["b"], r["similarity"]) for r in pairs.limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} pairs at {threshold}")
-    ids = sorted({x for a, b, _ in found for x in (a, b)})
-    values = {r[key]: r[freq] for r in rows.join(F.broadcast(spark.createDataFrame([(i,) for i in ids], f"{key} {dict(rows.dtypes)[key]}")), key).select(key, freq).collect()} if ids else {}
-    gone = cross_cluster(found, values)
-    moves = spark.createDataFrame(sorted(gone.items()), f"{key} {dict(rows.dtypes)[key]}, _to {dict(rows.dtypes)[key]}")
+    moves = cross_cluster(pairs, rows.select(F.col(key).alias("key"), F.col(freq).alias("freq"))).withColumnRenamed("key", key)
     moved = rows.join(moves, key, "left").withColumn("_k", F.coalesce("_to", key))
     sums = moved.groupBy("_k").agg(*[F.sum(c).alias(c) for c in (freq, *also)], F.count(F.lit(1)).alias("_n"))
     return rows.drop(freq, *also).join(sums, rows[key] == sums["_k"]).withColumn("merged_cross_cluster", F.col("_n") > 1).drop("_k", "_n")

@@ -109,6 +109,20 @@ def test_greedy_merges():
     assert unique.merge_groups(np.array([[1.0, 0], [1, 0.1], [0, 1]]), 0.9) == [[0, 1], [2]]
 
 
+def test_merges_in_rounds_are_those_of_the_serial_walk(spark):
+    import random
+
+    for seed in range(4):
+        r = random.Random(seed)
+        freq = {k: r.choice([1, 2, 2, 5, 9]) for k in range(40)}
+        pairs = sorted({(min(a, b), max(a, b)) for a, b in ((r.randrange(40), r.randrange(40)) for _ in range(90)) if a != b})
+        pairs = [(a, b, r.choice([0.95, 0.96, 0.97, 0.99])) for a, b in pairs]
+        got = unique.cross_cluster(spark.createDataFrame(pairs, "a long, b long, similarity double"), spark.createDataFrame(list(freq.items()), "key long, freq long"))
+        assert {x["key"]: x["_to"] for x in got.collect()} == repair.greedy_merges(pairs, freq)
+    none = unique.cross_cluster(spark.createDataFrame([], "a long, b long, similarity double"), spark.createDataFrame([(1, 2)], "key long, freq long"))
+    assert none.count() == 0
+
+
 def test_contamination_and_split(spark, rows):
     m = spark.createDataFrame([(1, q, 1) for q in "abcd"] + [(2, q, 1) for q in "ef"], "cluster_id long, question string, count long")
     bad = spark.createDataFrame([(1, "a"), (1, "b"), (2, "e")], "cluster_id long, question string")
