@@ -646,7 +646,11 @@ def hybrid_distance(spark, d):
     return out.select("a", "b", "alpha", *[F.round(c, 6).alias(c) for c in ("cosine_distance", "jaccard_distance", "hybrid_distance")])
 
 
-@query()
+@query(f"""with {_UNIT}, c as (select label, p, avg(v) as c from x group by 1, 2), s as (select label, vec_id, sum(v * c) as s from x join c using (label, p) group by 1, 2), one as (select label, first(vec_id order by round(s, 12) desc, vec_id) as v1 from s group by 1),
+    w as (select vec_id, label, list_transform(e, lambda v: v / n) as e from u), d1 as (select w.*, v1, 1 - list_dot_product(w.e, b.e) as g from w join one using (label) join w b on b.vec_id = v1),
+    two as (select label, first(vec_id order by round(g, 12) desc, vec_id) as v2 from d1 where vec_id <> v1 group by 1), d2 as (select d1.* replace (least(g, 1 - list_dot_product(d1.e, b.e)) as g), v2 from d1 join two using (label) join w b on b.vec_id = v2),
+    three as (select label, first(vec_id order by round(g, 12) desc, vec_id) as v3 from d2 where vec_id not in (v1, v2) group by 1)
+    select label, 1::int as position, v1 as vec_id from one union all select label, 2::int, v2 from two union all select label, 3::int, v3 from three""")
 def diverse_reps(spark, d):
     return repair.diverse(_t(spark, d, "embeddings"), "label", "vec_id", "embedding")
 
