@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import atexit
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rank import checkpoint_folder
+
 #: The texts that problems 1 and 3 deal with: (table, key column, text column).
 TEXTS = (("raw_log", "raw_row_id", "query_text"), ("unique_questions_freq", "unique_q_id", "representative_question"))
 
@@ -18,16 +18,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ready(spark: SparkSession) -> None:
-    """Make sure that checkpoint() has a folder: the one in spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "askmill-checkpoints"))
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame through the shared checkpoint folder."""
-    ready(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -47,7 +40,7 @@ def partitions(spark: SparkSession) -> int:
 def staged(df: DataFrame) -> DataFrame:
     """Write a frame as a compressed table into the shared checkpoint folder and read it back; it is removed when Python ends."""
     spark = df.sparkSession
-    ready(spark)
+    checkpoint_folder(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
