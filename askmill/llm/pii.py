@@ -153,7 +153,7 @@ def _breaks(t: Text, k: int) -> bool:
     if w != "." or k + 1 >= len(t.words) or not t.gap[k + 1]:
         return w == "." and k + 1 >= len(t.words)
     before = t.low[k - 1] if k else ""
-    return len(before) > 4 or not before[:1].isalpha()
+    return len(before) > 4 or (len(before) == 4 and t.cls[k - 1] == "c") or not before[:1].isalpha()  # else it may shorten a word
 
 
 def candidates(t: Text, known: frozenset[str] = frozenset()) -> Iterator[Candidate]:

@@ -206,7 +206,10 @@ class _Maker:
             return f"{w(2).capitalize()} {{name}} {w(2)}. {r.choice([w(1).capitalize() + ' ', w(3).capitalize() + ' ', ''])}{{known}} {w(3)}."
         if r.random() < 0.15:
             lead = r.choice(_ROLES if r.random() < 0.6 else _WHEN)
-            return f"{lead if r.random() < 0.8 else lead.lower()} {{name}} {' '.join(r.choice(_PLAIN) for _ in range(r.randint(1, 4)))}."
+            rest = " ".join(r.choice(_PLAIN) for _ in range(r.randint(1, 4)))
+            if r.random() < 0.25:
+                return f"{r.choice(['The', 'Our', 'His', 'Her', 'A'])} {r.choice(_ROLES).lower()}, {{name}}, {rest}."
+            return f"{lead if r.random() < 0.8 else lead.lower()} {{name}} {rest}."
         slot = r.choice(["{name}", "{name}", "{name}", "{place}", "{place}", "{brand}", "{brand}", "{place}", "{phone}", "{address}", "{email}", "{id}", "{serial}", "{n} {brand}", "{org}"])
         before, after = ([r.choice(_PLAIN) for _ in range(r.choice((0, 1, 1, 2, 3)) if a else r.randint(1, 3))] for a in (1, 0))
         if before:
