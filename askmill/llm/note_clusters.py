@@ -123,8 +123,7 @@ def cores(texts: DataFrame, words: Words) -> DataFrame:
 
 def neighbours(items: DataFrame, near: float, block: int = BLOCK) -> DataFrame:
     """(a, b, s), in both directions: the items (id, ws, xs; unit vectors) with a cosine of near or more."""
-    freq = items.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("f"))
-    flat = items.select("id", F.posexplode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("p", "e")).select("id", "e.w", "e.x").join(freq, "w")
+    flat = items.select("id", F.explode(F.arrays_zip(F.col("ws").alias("w"), F.col("xs").alias("x"))).alias("e")).select("id", "e.w", "e.x").withColumn("f", F.count(F.lit(1)).over(Window.partitionBy("w")))
     by = Window.partitionBy("id").orderBy("f", "w").rowsBetween(Window.unboundedPreceding, -1)
     # what is left of the vector from this word on must be able to give the similarity with a vector of unit length
     listed = flat.withColumn("left", 1 - F.coalesce(F.sum(F.col("x") * F.col("x")).over(by), F.lit(0.0))).where(F.col("left") >= near * near - 1e-9).select("w", "f", "id")
@@ -162,24 +161,19 @@ def pivots(items: DataFrame, near: float, heaviest: bool = False) -> DataFrame:
     The order is that of the hash ids or, with ``heaviest``, by falling weight; an item joins its first pivot, or its closest one.
     """
     order = F.struct((-F.round("weight", 6) if heaviest else F.lit(0.0)).alias("w"), F.col("id").alias("id"))
-    active = cut(items.select("id", order.alias("o")))
-    edges = staged(neighbours(items, near))
-    edges = staged(edges.join(active.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b"))
-    parts = []
-    while active.count():  # one number a round
-        lowest = edges.groupBy(F.col("a").alias("id")).agg(F.min("ob").alias("lo"))
-        new = cut(active.join(lowest, "id", "left").where("lo is null or o < lo").select("id"))
+    state = cut(items.select("id", order.alias("o"), F.lit(None).cast("long").alias("pivot")))
+    edges = neighbours(items, near).join(state.select(F.col("id").alias("a"), F.col("o").alias("oa")), "a").join(state.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b")
+    edges = staged(edges)
+    while state.where("pivot is null").limit(1).count():  # one number a round
+        later = edges.where("ob < oa").select(F.col("a").alias("id")).distinct()
+        new = state.where("pivot is null").join(later, "id", "left_anti").select("id")  # before all its active neighbours
         best = F.max_by("b", F.struct("s", (-F.col("b")).alias("t"))) if heaviest else F.min_by("b", "ob")
-        joined = edges.join(new.select(F.col("id").alias("b")), "b", "left_semi").groupBy(F.col("a").alias("id")).agg(best.alias("pivot"))
-        now = cut(joined.unionByName(new.select("id", F.col("id").alias("pivot"))))
-        parts.append(now)
-        active = cut(active.join(now, "id", "left_anti"))
-        gone = now.select("id")
+        joined = edges.join(new.select(F.col("id").alias("b")), "b", "left_semi").groupBy(F.col("a").alias("id")).agg(best.alias("now"))
+        now = joined.unionByName(new.select("id", F.col("id").alias("now")))
+        state = cut(state.join(now, "id", "left").select("id", "o", F.coalesce("pivot", "now").alias("pivot")))
+        gone = state.where("pivot is not null").select("id")
         edges = cut(edges.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti"))
-    out = items.select("id", F.col("id").alias("pivot")).where("false")
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    return state.select("id", "pivot")
 
 
 def summed_up(members: DataFrame) -> DataFrame:
