@@ -25,8 +25,8 @@ def vocabulary(docs: DataFrame, key: str, text: str, max_features: int = 1000, m
 def weights(docs: DataFrame, key: str, text: str, vocab: DataFrame) -> DataFrame:
     """(key, term, weight), rows of length 1. The vocabulary has max_features rows at most, so it is broadcast."""
     w = counts(docs, key, text).join(F.broadcast(vocab.select("term", "idf")), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    length = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
-    return w.join(length, key).select(key, "term", (F.col("w") / F.col("_n")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # keywords() needs the same partitioning
+    return w.select(key, "term", (F.col("w") / length).alias("weight"))
 
 
 def keywords(weighted: DataFrame, key: str, k: int = 5) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import replies, text
-from ..operators import cluster, corpus, density, evaluate, freq, qa, repair, similarity, tfidf, unique
+from ..operators import cluster, corpus, density, evaluate, freq, qa, rank, repair, similarity, tfidf, unique
 from ..operators.models import Echo, SameLetter
 from ..sources import io
 
@@ -232,7 +232,8 @@ def tfidf_terms(spark, d):
 
 @query(f"with {_KW} select unique_q_id, top_keywords from kw")
 def question_keywords(spark, d):
-    docs = _docs(spark, d)
+    rank.checkpoint_folder(spark)
+    docs = _docs(spark, d).checkpoint()  # cleaned once, read for the vocabulary, its size and the weights
     return tfidf.keywords(tfidf.weights(docs, "unique_q_id", "cleaned", tfidf.vocabulary(docs, "unique_q_id", "cleaned")), "unique_q_id")
 
 
@@ -689,7 +690,8 @@ def evaluation(spark, d):
     return evaluate.evaluate(m, SameLetter("B"))
 
 
-@query()
+@query(f"""with m as (select unique_q_id, 'Question: ' || coalesce(representative_question, 'N/A') || chr(10) || 'Asked: ' || coalesce(raw_frequency, 1) || ' times' as message from unique_questions_freq)
+    select unique_q_id, {_strip('message')} as generated_question, 'Other' as generated_category, {_strip("'Please ask an officer about: ' || message")} as generated_answer from m""")
 def qa_generated(spark, d):
     return qa.answers(_faq(spark, d), CROP, Echo()).select("unique_q_id", "generated_question", "generated_category", "generated_answer")
 
