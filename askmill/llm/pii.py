@@ -46,7 +46,7 @@ SENTENCES = 4500
 LEAST_SHARE = 1 / 2000
 
 #: Digits, words (with the vowel signs of Indian scripts, which are no letters), line ends, signs.
-_TOKEN = re.compile(r"\d+|[^\W\d_]+(?:(?![\u0964\u0965])[^\d\W\u0900-\u0d7f]*[\u0900-\u0963\u0971-\u09e3\u09f0-\u0a65\u0a70-\u0ae5\u0b70-\u0be5\u0c00-\u0c65\u0d00-\u0d65][^\W\d_]*)*|\n|[^\s]")
+_TOKEN = re.compile(r"\d+|[A-Z]['’][A-Z][a-z]+|[^\W\d_]+(?:(?![\u0964\u0965])[^\d\W\u0900-\u0d7f]*[\u0900-\u0963\u0971-\u09e3\u09f0-\u0a65\u0a70-\u0ae5\u0b70-\u0be5\u0c00-\u0c65\u0d00-\u0d65][^\W\d_]*)*|\n|[^\s]")
 _DIGITS = frozenset("zero one two three four five six seven eight nine oh double triple".split())
 
 

@@ -21,7 +21,7 @@ _GIVEN = (
 _FAMILY = (
     "Acharya Agarwal Ahmed Ali Banerjee Bhat Bose Chatterjee Chauhan Das Desai Deshmukh Dutta Fernandes Ghosh Gill Gupta Hussain Iyer Jadhav Jain Joshi Kamble Kapoor Kaur Khan Krishnan Kulkarni Kumar Mehta Menon Mishra Mukherjee Murthy Naidu Nair"
     " Pandey Patel Patil Pillai Pradhan Rao Rathore Reddy Roy Sahu Saxena Sen Sethi Shah Sharma Shetty Shinde Singh Sinha Subramanian Thakur Tiwari Varma Yadav"
-    " Anderson Brown Cohen Garcia Haddad Ivanova Johnson Kim Kowalski Lopez Martin Mueller Nguyen Okafor Petrov Rossi Sato Silva Smith Tanaka Wang Williams Wong"
+    " Anderson Brown Cohen Garcia Haddad Ivanova Johnson Kim Kowalski Lopez Martin Mueller Nguyen Okafor Petrov Rossi Sato Silva Smith Tanaka Wang Williams Wong O'Brien D'Souza D'Costa"
 ).split()
 _OTHER_SCRIPTS = {
     "hi": ("राजेश सुनीता अनिल मीना विजय कविता रमेश गीता मोहन सीता", "शर्मा वर्मा यादव गुप्ता सिंह मिश्रा पटेल जोशी"),
